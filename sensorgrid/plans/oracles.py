@@ -288,11 +288,13 @@ oracle(
 oracle(
     "ingest_json_strict", FAULTY,
     """SELECT kafka_timestamp, datetime, date, time,
-        CASE WHEN k NOT BETWEEN 50 AND 59 THEN pm25_cf1 END AS pm25_cf1, gr03um FROM faulty""",
+        CAST(CASE WHEN k NOT BETWEEN 50 AND 59 THEN pm25_cf1 END AS VARCHAR) AS pm25_cf1,
+        CAST(gr03um AS VARCHAR) AS gr03um FROM faulty""",
 )
 oracle(
     "ingest_json_lenient", FAULTY,
-    "SELECT kafka_timestamp, datetime, date, time, pm25_cf1, gr03um FROM faulty",
+    """SELECT kafka_timestamp, datetime, date, time, CAST(pm25_cf1 AS VARCHAR) AS pm25_cf1,
+        CAST(gr03um AS VARCHAR) AS gr03um FROM faulty""",
 )
 oracle(
     "csv_scan_rows csv_sorted", "t AS (SELECT * FROM events)",
@@ -380,7 +382,7 @@ oracle(
     "aqi_from_pm25",
     f"t AS (SELECT event_id, CASE WHEN value >= 0.5 THEN {rounded(f'value * {d(1.25)}', 1)} END AS pm2_5 FROM events)",
     f"""SELECT event_id, pm2_5, {aqi_sql("pm2_5")} AS aqi,
-        CASE WHEN pm2_5 IS NOT NULL THEN {aqi_sql("pm2_5")} END AS aqi_or_null FROM t""",
+        CAST(CASE WHEN pm2_5 IS NOT NULL THEN {aqi_sql("pm2_5")} END AS VARCHAR) AS aqi_or_null FROM t""",
 )
 oracle(
     "aqi_labels", READINGS,
@@ -390,7 +392,7 @@ oracle("air_quality_percent", READINGS, "SELECT datetime, aqi, air_quality_perce
 oracle(
     "sql_functions",
     f"t AS (SELECT event_id, CASE WHEN value >= 1 THEN {truncated('value')} END AS aqi FROM events)",
-    f"SELECT event_id, aqi, {category_sql('aqi')} AS category, {color_sql('aqi')} AS color FROM t",
+    f"SELECT event_id, CAST(aqi AS VARCHAR) AS aqi, {category_sql('aqi')} AS category, {color_sql('aqi')} AS color FROM t",
 )
 oracle(
     "time_enrichment_columns", "t AS (SELECT event_id, ts AS datetime FROM events)",
@@ -429,7 +431,7 @@ DAILY = f"""{ZONES},
             {rounded(average("avg_pm2_5"), 1)} AS daily_avg_pm25, {rounded(average("avg_aqi"), 0)} AS daily_avg_aqi,
             min(min_aqi) AS daily_min_aqi, max(max_aqi) AS daily_max_aqi
         FROM zones GROUP BY ALL)"""
-oracle("daily_zone_stats", DAILY, "SELECT * FROM daily")
+oracle("daily_zone_stats", DAILY, "SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM daily")
 SENSOR_VIEW = """sensor_id, zone_id, zone_name, latitude, longitude, datetime, pm1_0_atm, pm2_5_atm,
     pm10_atm, aqi, aqi_category, aqi_color, air_quality_percent, sport_ok"""
 ZONE_VIEW = """zone_id, zone_name, window_start, window_end, active_sensors, zone_latitude, zone_longitude,
@@ -488,7 +490,7 @@ oracle(
 )
 oracle(
     "all_zone_union", READINGS,
-    """SELECT zone_id, sensor_id, datetime, aqi FROM readings
+    """SELECT zone_id, sensor_id, datetime, aqi_category FROM readings
         UNION ALL SELECT zone_id, NULL, datetime, NULL FROM readings""",
 )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sensorgrid.functions import aqi as A
 from sensorgrid.functions.calendar import iso_timestamp, time_enrichment
@@ -15,7 +15,7 @@ from sensorgrid.operators.fanout import station_fanout
 from sensorgrid.operators.ordering import sort_by_time, with_row_index
 from sensorgrid.plans import bindings as B, serving as S
 from sensorgrid.plans.views import current_zone_windows, register_views
-from sensorgrid.schemas import READING, STATION
+from sensorgrid.schemas import MESSAGE, READING, STATION
 from sensorgrid.session import new_path
 from sensorgrid.sinks.payload import replay_payload, to_payload, zones_payload
 from sensorgrid.sinks.writers import multi_sink, table_sink, topic_sink, write_csv
@@ -52,9 +52,19 @@ def _zoneless(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings as the serving side receives them: through JSON messages."""
-    sent = to_payload(_readings(spark, sf_dir), keep=L.ARRIVAL)
-    return M.feed_ingest(sent, F.lit(AS_OF.isoformat()).cast("timestamp_ntz"))
+    """Readings as the serving side keeps them, with their time of receipt."""
+    stamp = iso_timestamp(F.lit(AS_OF.isoformat()).cast("timestamp_ntz"))
+    return _readings(spark, sf_dir).withColumn("received_at", stamp)
+
+
+def _topic(messages: DataFrame) -> DataFrame:
+    """Messages written to a topic of files and read from it."""
+    spark = messages.sparkSession
+    path = new_path(spark, "topic")
+    envelope = {"key": F.lit(None).cast("binary"), "topic": F.lit(B.RAW_TOPIC)}
+    sent = messages.withColumns({**envelope, "value": F.col("value").cast("binary")})
+    sent.select(*MESSAGE.fieldNames()).write.parquet(path)
+    return M.kafka_source(spark, B.RAW_TOPIC, streaming=False, fmt="parquet", path=path)
 
 
 def _zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,14 +80,17 @@ def _stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.time_flags(station_fanout(_raw(spark, sf_dir), R.station_rows()))
 
 
+def _texts(*columns: str) -> list[Column]:
+    """Integers that may be NULL, as text: engines differ in how they hand those out."""
+    return [F.col(c).cast("string").alias(c) for c in columns]
+
+
 # --- sources ---------------------------------------------------------------
 
 
 @query
 def kafka_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_path(spark, "topic")
-    B.raw_feed(B.events(spark, sf_dir)).write.parquet(path)
-    feed = M.kafka_source(spark, B.RAW_TOPIC, streaming=False, fmt="parquet", path=path)
+    feed = _topic(B.raw_feed(B.events(spark, sf_dir)))
     return _zoneless(feed, "timestamp").select(
         F.length("value").alias("value_length"), "topic", "partition", "offset", "timestamp"
     )
@@ -92,7 +105,7 @@ def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_json_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = B.faulty_raw_feed(B.events(spark, sf_dir))
     return _zoneless(M.ingest_json(feed, "strict"), "kafka_timestamp").select(
-        "kafka_timestamp", "datetime", "date", "time", "pm25_cf1", "gr03um"
+        "kafka_timestamp", "datetime", "date", "time", *_texts("pm25_cf1", "gr03um")
     )
 
 
@@ -100,7 +113,7 @@ def ingest_json_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_json_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = B.faulty_raw_feed(B.events(spark, sf_dir))
     return _zoneless(M.ingest_json(feed, "lenient"), "kafka_timestamp").select(
-        "kafka_timestamp", "datetime", "date", "time", "pm25_cf1", "gr03um"
+        "kafka_timestamp", "datetime", "date", "time", *_texts("pm25_cf1", "gr03um")
     )
 
 
@@ -121,8 +134,9 @@ def key_present_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Zones whose sensor number ends in 0 or 1 send no name or an empty one.
     last = F.substring("sensor_id", -1, 1)
     zone = F.when(last == "0", None).when(last == "1", "").otherwise(F.col("zone_id"))
-    sent = to_payload(_readings(spark, sf_dir).withColumn("zone_id", zone), keep=L.ARRIVAL)
-    return M.feed_ingest(sent, F.lit(AS_OF.isoformat()).cast("timestamp_ntz")).select(
+    rows = _readings(spark, sf_dir).withColumn("zone_id", zone)
+    feed = _topic(to_payload(rows, keep=L.ARRIVAL))
+    return M.feed_ingest(feed, F.lit(AS_OF.isoformat()).cast("timestamp_ntz")).select(
         "sensor_id", "zone_id", "datetime", "received_at"
     )
 
@@ -272,7 +286,7 @@ def aqi_from_pm25(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         pm.alias("pm2_5"),
         A.aqi_from_pm25(pm).alias("aqi"),
-        A.aqi_from_pm25(pm, null_aqi=True).alias("aqi_or_null"),
+        A.aqi_from_pm25(pm, null_aqi=True).cast("string").alias("aqi_or_null"),
     )
 
 
@@ -302,7 +316,10 @@ def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     level = F.when(F.col("value") >= 1, F.col("value").cast("int"))
     rows = B.events(spark, sf_dir).select("event_id", level.alias("aqi"))
     return rows.selectExpr(
-        "event_id", "aqi", "get_aqi_category(aqi) AS category", "get_aqi_color(aqi) AS color"
+        "event_id",
+        "CAST(aqi AS STRING) AS aqi",
+        "get_aqi_category(aqi) AS category",
+        "get_aqi_color(aqi) AS color",
     )
 
 
@@ -351,7 +368,8 @@ def zone_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def daily_zone_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Z.daily_zone_stats(_measures(spark, sf_dir))
+    stats = Z.daily_zone_stats(_measures(spark, sf_dir))
+    return stats.withColumn("date", F.col("date").cast("string"))
 
 
 @query
@@ -449,7 +467,7 @@ def recent_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_zone_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two feeds of different columns side by side."""
     rows = _readings(spark, sf_dir)
-    wide = rows.select("zone_id", "sensor_id", "datetime", "aqi")
+    wide = rows.select("zone_id", "sensor_id", "datetime", "aqi_category")
     narrow = rows.select("zone_id", "datetime")
     return S.union_feeds(wide, narrow)
 

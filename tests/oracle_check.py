@@ -17,7 +17,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _rows(frame: pd.DataFrame, columns: list[str]) -> list[tuple]:
     plain = [
-        tuple(None if v is None or v is pd.NaT or v != v else v for v in row)
+        tuple(None if pd.isna(v) else v for v in row)
         for row in frame[columns].astype(object).itertuples(index=False, name=None)
     ]
     return sorted(plain, key=repr)
