@@ -17,6 +17,7 @@ from sensorgrid.fixed_values import (
     PERCENT_ZERO_AT,
     SPORT_MAX_AQI,
 )
+from sensorgrid.functions.numeric import whole_half_up
 
 
 def aqi_from_pm25(pm: Column, null_aqi: bool = False) -> Column:
@@ -29,20 +30,25 @@ def aqi_from_pm25(pm: Column, null_aqi: bool = False) -> Column:
     def segment(rest: Column, row: tuple[float, float, float, float]) -> Column:
         pm_from, pm_to, aqi_from, aqi_to = row
         slope = (aqi_to - aqi_from) / (pm_to - pm_from)
-        return F.when(pm <= pm_to, F.round((pm - pm_from) * slope + aqi_from, 0)).otherwise(rest)
+        return F.when(pm <= pm_to, (pm - pm_from) * slope + aqi_from).otherwise(rest)
 
-    top = F.lit(float(AQI_MAX))
-    index = reduce(segment, reversed(AQI_BREAKPOINTS), top).cast("int")
-    return F.when(pm.isNotNull(), index) if null_aqi else index
+    index = reduce(segment, reversed(AQI_BREAKPOINTS), F.lit(float(AQI_MAX)))
+    aqi = whole_half_up(index).cast("int")
+    return F.when(pm.isNotNull(), aqi) if null_aqi else aqi
 
 
 def label_by_bound(value: Column, bounds: tuple, labels: tuple[str, ...]) -> Column:
-    """Label of the first inclusive upper bound the value stays within, else the last."""
-    return reduce(
-        lambda rest, pair: F.when(value <= pair[0], F.lit(pair[1])).otherwise(rest),
-        reversed(list(zip(bounds, labels))),
-        F.lit(labels[-1]),
+    """Label of the first inclusive upper bound the value stays within, else the last.
+
+    The class number is one expression however many labels are asked for, which
+    the generated code evaluates once per row.
+    """
+    number = reduce(
+        lambda rest, i: F.when(value <= bounds[i], F.lit(i)).otherwise(rest),
+        reversed(range(len(bounds))),
+        F.lit(len(bounds)),
     )
+    return F.get(F.array(*[F.lit(text) for text in labels]), number)
 
 
 def aqi_category(aqi: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 INT_MIN, INT_MAX = -2147483648.0, 2147483647.0
+LOW_BITS = 20
 
 
 def truncated_int(value: Column) -> Column:
@@ -13,15 +14,40 @@ def truncated_int(value: Column) -> Column:
     return F.when(value.isNotNull(), bounded.try_cast("int"))
 
 
+def half_up(value: Column, digits: int) -> Column:
+    """``F.round`` of doubles, same results, without its decimal arithmetic per row.
+
+    Away from a tie the nearest step is plain arithmetic; only within a millionth
+    of one, where the decimal text decides, does ``F.round`` run. ``value`` is
+    repeated, so pass a column, not a long expression.
+    """
+    scale = float(10**digits)
+    steps = value * scale
+    nearest = F.rint(steps)
+    clear = (F.abs(steps - nearest) < 0.499999) & (F.abs(steps) < 1e12)
+    return F.when(clear, nearest / scale + 0.0).otherwise(F.round(value, digits))
+
+
+def whole_half_up(value: Column) -> Column:
+    """``F.round(value, 0)``, same results: ties to even, corrected where it was a tie."""
+    even = F.rint(value)
+    tie_down = F.when(value - even == 0.5, 1.0).otherwise(0.0)
+    return F.when(value >= 0, even + tie_down).otherwise(F.round(value, 0))
+
+
 def exact_avg(column: str) -> Column:
     """Average whose result does not depend on the order rows are added in.
 
     Summing doubles gives last-digit differences between runs, which flip
-    rounded averages; a decimal sum does not. Six decimals are kept, non-finite
-    values count as missing.
+    rounded averages. Here millionths are summed as integers, high and low bits
+    apart, so that neither sum overflows at trillions of rows in one group.
+    Non-finite values count as missing.
     """
-    value = F.col(column).try_cast("decimal(18,6)")
-    return F.sum(value).cast("double") / F.count(value)
+    millionths = F.rint(F.col(column) * 1e6).try_cast("bigint")
+    high = F.sum(F.shiftright(millionths, LOW_BITS)).cast("decimal(38,0)")
+    low = F.sum(millionths.bitwiseAND((1 << LOW_BITS) - 1)).cast("decimal(38,0)")
+    total = high * F.lit(1 << LOW_BITS).cast("decimal(10,0)") + low
+    return total.cast("double") / 1e6 / F.count(millionths)
 
 
 def keyed_jitter(keys: list[Column], amplitude: Column, seed: int = 0) -> Column:

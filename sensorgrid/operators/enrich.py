@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorgrid.functions import aqi as A
 from sensorgrid.functions.calendar import night, rush_hour, time_enrichment
-from sensorgrid.functions.numeric import keyed_jitter, truncated_int
+from sensorgrid.functions.numeric import half_up, keyed_jitter, truncated_int
 from sensorgrid.operators.fanout import Registry, station_fanout
 from sensorgrid.schemas import READING
 
@@ -48,9 +48,10 @@ def station_factor(df: DataFrame, seed: int | None = None) -> DataFrame:
 
 def scale_pm(df: DataFrame) -> DataFrame:
     """Adds the three PM columns, one decimal."""
-    return df.withColumns(
-        {out: F.round(F.col(raw) * F.col("total_factor"), 1) for out, raw in PM_COLUMNS.items()}
+    scaled = df.withColumns(
+        {out: F.col(raw) * F.col("total_factor") for out, raw in PM_COLUMNS.items()}
     )
+    return scaled.withColumns({out: half_up(F.col(out), 1) for out in PM_COLUMNS})
 
 
 def scale_particles(df: DataFrame, seed: int | None = None) -> DataFrame:

@@ -20,7 +20,17 @@ EVENT_COLUMNS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, dealt out to all of them.
+
+    Only a small table (here one file of one row group) is moved; a large one
+    has splits enough and is left where it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # HotSpot does not compile methods above this many bytes; a stage that would
+    # exceed it runs operator by operator instead of interpreted as a whole.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }

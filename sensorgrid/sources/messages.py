@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from sensorgrid.fixed_values import RAW_COUNT_FIELDS, RAW_TEXT_FIELDS
+from sensorgrid.fixed_values import RAW_COUNT_FIELDS
 from sensorgrid.functions.calendar import event_time, iso_timestamp
 from sensorgrid.functions.numeric import truncated_int
 from sensorgrid.schemas import MESSAGE, RAW, RAW_AS_TEXT, READING
@@ -45,35 +45,36 @@ def sasl_options(servers: str, username: str, password: str) -> dict[str, str]:
     }
 
 
-def parse_raw(value: Column, mode: str = "strict") -> Column:
-    """Raw record struct of a JSON text; malformed input gives NULL fields.
+def _lenient_int(text: Column) -> Column:
+    """12.0 and "12" as 12; NaN and anything else as missing."""
+    number = text.try_cast("double")
+    return F.when(number.isNotNull() & ~F.isnan(number), truncated_int(number))
 
+
+def ingest_json(feed: DataFrame, mode: str = "strict") -> DataFrame:
+    """Messages of the raw topic as typed columns with event time and PM values.
+
+    Every message is kept; one that does not parse has NULL data fields.
     ``strict`` takes integers only. ``lenient`` also takes 12.0 and "12" (what a
     table with blanks turns integers into) and reads NaN as missing.
     """
-    if mode == "strict":
-        return F.from_json(value, RAW)
-    if mode != "lenient":
+    if mode not in ("strict", "lenient"):
         raise ValueError(f"unknown mode {mode!r}")
-    text = F.from_json(value, RAW_AS_TEXT)
-    counts = []
-    for name in RAW_COUNT_FIELDS:
-        number = text[name].try_cast("double")
-        finite = number.isNotNull() & ~F.isnan(number)
-        counts.append(F.when(finite, truncated_int(number)).alias(name))
-    return F.struct(*[text[name].alias(name) for name in RAW_TEXT_FIELDS], *counts)
+    schema = RAW if mode == "strict" else RAW_AS_TEXT
+    record = F.from_json(F.col("value").cast("string"), schema)
+    raw = _unpack(feed, record, F.col("timestamp").alias("kafka_timestamp"))
+    if mode == "lenient":
+        raw = raw.withColumns({c: _lenient_int(F.col(c)) for c in RAW_COUNT_FIELDS})
+    return with_event_time(raw)
 
 
-def ingest_json(feed: DataFrame, mode: str = "strict") -> DataFrame:
-    """Messages of the raw topic as typed columns with event time and PM values.
+def _unpack(feed: DataFrame, record: Column, *beside: Column | str) -> DataFrame:
+    """The fields of a parsed record as columns, parsed once.
 
-    Every message is kept; one that does not parse has NULL data fields.
+    Out of a plain projection the optimizer copies the parse into every filter
+    on a field, once per field; it does not look through a generator.
     """
-    parsed = feed.select(
-        parse_raw(F.col("value").cast("string"), mode).alias("data"),
-        F.col("timestamp").alias("kafka_timestamp"),
-    ).select("data.*", "kafka_timestamp")
-    return with_event_time(parsed)
+    return feed.select(F.inline(F.array(record)), *beside)
 
 
 def with_event_time(raw: DataFrame) -> DataFrame:
@@ -106,12 +107,8 @@ def feed_ingest(
     as_sent = T.StructType(
         [T.StructField(f.name, T.StringType() if f.name == "datetime" else f.dataType) for f in schema]
     )
-    rows = feed.select(
-        F.from_json(F.col("value").cast("string"), as_sent).alias("data"),
-        "timestamp",
-        "partition",
-        "offset",
-    ).select("data.*", "timestamp", "partition", "offset")
+    record = F.from_json(F.col("value").cast("string"), as_sent)
+    rows = _unpack(feed, record, "timestamp", "partition", "offset")
     if "datetime" in schema.fieldNames():
         rows = rows.withColumn("datetime", F.col("datetime").try_cast("timestamp_ntz"))
     return key_present(rows).withColumn("received_at", iso_timestamp(stamp))
