@@ -36,6 +36,26 @@ def latest_by(
     return rows.select(*(cols or df.columns))
 
 
+def tail(df: DataFrame, keys: Sequence[str], time: str, n: int, bucket: str = "hour") -> DataFrame:
+    """Rows that can be among the last ``n`` of their key by ``time``, and few others.
+
+    Counts rows per key and ``bucket`` of time first, which reads two columns and
+    sends one number per bucket; then reads on from the bucket in which the
+    slowest key reaches ``n``. On a table in order of time the second scan skips
+    all files and row groups before that bucket.
+    """
+    counts = df.groupBy(*keys, F.date_trunc(bucket, time).alias("_bucket")).agg(
+        F.count("*").alias("_rows")
+    )
+    newer_rows = F.sum("_rows").over(
+        Window.partitionBy(*keys).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    needed = counts.withColumn("_newer", F.coalesce(newer_rows, F.lit(0))).where(F.col("_newer") < n)
+    kind = df.schema[time].dataType
+    since = needed.agg(F.min("_bucket").cast(kind)).scalar()
+    return df.where((F.col(time) >= since) | F.col(time).isNull())
+
+
 def last_n(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, salts: int = 16
 ) -> DataFrame:

@@ -14,8 +14,10 @@ from sensorgrid.schemas import ZONE_WINDOW
 ZONE_KEYS = ("window_start", "window_end", "zone_id", "zone_name")
 
 # Windows with more readings than this carry no id list in their row; their ids
-# and counts are in zone_window_sensors, as everybody else's.
-MAX_LISTED_READINGS = 10_000
+# and counts are in zone_window_sensors, as everybody else's. Not above
+# spark.sql.optimizer.windowGroupLimitThreshold (1000 unless set), up to which
+# the planner cuts a rank off before its shuffle.
+MAX_LISTED_READINGS = 1_000
 
 # Most stations that get a counter column of their own.
 MAX_COUNTED_STATIONS = 200
@@ -132,7 +134,8 @@ def attach_sensor_ids(
     lists = kept.groupBy(*ZONE_KEYS).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
 
     z, s = zones.alias("z"), lists.alias("s")
-    same = [F.col(f"z.{k}").eqNullSafe(F.col(f"s.{k}")) for k in ZONE_KEYS]
+    same = [F.col("z.window_start") == F.col("s.window_start")]
+    same += [F.col(f"z.{k}").eqNullSafe(F.col(f"s.{k}")) for k in ("zone_id", "zone_name")]
     ids = F.flatten(
         F.transform("_entries", lambda e: F.array_repeat(e["sensor_id"], e["readings"].cast("int")))
     )

@@ -218,7 +218,7 @@ def windows_sql(unit: str) -> str:
             {rounded("CAST(sum(aqi) AS DOUBLE) / count(aqi)", 0)} AS avg_aqi,
             min(aqi) AS min_aqi, max(aqi) AS max_aqi,
             {rounded(average("air_quality_percent"), 1)} AS avg_air_quality_percent,
-            CASE WHEN count(sensor_id) <= 10000 THEN string_agg(sensor_id, ',' ORDER BY sensor_id) END
+            CASE WHEN count(sensor_id) <= 1000 THEN string_agg(sensor_id, ',' ORDER BY sensor_id) END
                 AS sensor_ids_str
         FROM readings GROUP BY ALL),
     zones AS (

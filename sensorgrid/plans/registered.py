@@ -408,7 +408,7 @@ def latest_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def history_last_500(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = L.last_n(_readings(spark, sf_dir), ["zone_id"], L.ARRIVAL, 500)
+    kept = S.kept_history(_readings(spark, sf_dir), 500, L.ARRIVAL)
     return kept.select("zone_id", "sensor_id", "datetime", "aqi", "offset")
 
 
@@ -421,7 +421,7 @@ def history_last_100(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def zone_history_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _readings(spark, sf_dir).select("zone_id", *L.ARRIVAL)
-    return L.history_size(L.last_n(rows, ["zone_id"], L.ARRIVAL, 500))
+    return L.history_size(S.kept_history(rows, 500, L.ARRIVAL))
 
 
 # --- serving ---------------------------------------------------------------

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sensorgrid.fixed_values import (
     DEFAULT_HOURS,
@@ -24,7 +24,7 @@ from sensorgrid.fixed_values import (
 )
 from sensorgrid.functions.calendar import hours_before
 from sensorgrid.functions.numeric import exact_avg
-from sensorgrid.operators.latest import ARRIVAL, last_n, latest_by_arrival
+from sensorgrid.operators.latest import ARRIVAL, last_n, latest_by_arrival, tail
 
 
 def recent(df: DataFrame, as_of: datetime | Column, hours: int | None = DEFAULT_HOURS) -> DataFrame:
@@ -51,6 +51,23 @@ def union_feeds(*feeds: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
 
 
+def kept_history(feed: DataFrame, size: int, order: Sequence[str]) -> DataFrame:
+    """The last ``size`` arrived rows of every zone."""
+    return last_n(_tail(feed, size, order), ["zone_id"], order, size)
+
+
+def latest_of_zones(
+    feed: DataFrame, order: Sequence[str], cols: Sequence[str] | None = None
+) -> DataFrame:
+    """The last arrived row of every zone."""
+    return latest_by_arrival(_tail(feed, 1, order), order, cols)
+
+
+def _tail(feed: DataFrame, size: int, order: Sequence[str]) -> DataFrame:
+    timed = isinstance(feed.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType))
+    return tail(feed, ["zone_id"], order[0], size) if timed and not feed.isStreaming else feed
+
+
 def _or(column: str, default: object, kind: str | None = None) -> Column:
     value = F.coalesce(F.col(column), F.lit(default))
     return value.cast(kind) if kind else value
@@ -68,7 +85,7 @@ LATEST_COLUMNS = (
 
 def zones_list(feed: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
     """Every zone with its last arrived index, nested."""
-    return latest_by_arrival(feed, order, LATEST_COLUMNS).select(
+    return latest_of_zones(feed, order, LATEST_COLUMNS).select(
         "zone_id",
         _or("zone_name", UNKNOWN_LABEL).alias("zone_name"),
         _number("latitude").alias("latitude"),
@@ -86,7 +103,7 @@ def zones_list(feed: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
 
 def map_data(feed: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
     """Every zone with its last arrived values, flat."""
-    return latest_by_arrival(feed, order, LATEST_COLUMNS).select(
+    return latest_of_zones(feed, order, LATEST_COLUMNS).select(
         "zone_id",
         "zone_name",
         _number("latitude").alias("latitude"),
@@ -110,7 +127,7 @@ def zone_history(
     size: int = HISTORY_SIZE,
 ) -> DataFrame:
     """Last arrived rows of one zone within the period, newest first."""
-    kept = last_n(in_zone(feed, zone_id), ["zone_id"], order, size)
+    kept = kept_history(in_zone(feed, zone_id), size, order)
     return recent(kept, as_of, hours).orderBy(F.desc("datetime"))
 
 
@@ -123,13 +140,13 @@ def measurements_list(
 ) -> DataFrame:
     """The newest page of one zone's history, or of the short history of all zones."""
     size = HISTORY_SIZE if zone_id else OVERVIEW_SIZE
-    kept = last_n(in_zone(feed, zone_id), ["zone_id"], order, size)
+    kept = kept_history(in_zone(feed, zone_id), size, order)
     return recent(kept, as_of, hours).orderBy(F.desc("datetime")).limit(PAGE_SIZE)
 
 
 def latest_measurements(feed: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
     """The last arrived row of every zone, newest event first."""
-    return latest_by_arrival(feed, order).orderBy(F.desc_nulls_last("datetime"))
+    return latest_of_zones(feed, order).orderBy(F.desc_nulls_last("datetime"))
 
 
 def recent_stats(
@@ -139,7 +156,7 @@ def recent_stats(
     order: Sequence[str] = ARRIVAL,
 ) -> DataFrame:
     """Index range and averages per zone over the recent part of its history."""
-    kept = recent(last_n(feed, ["zone_id"], order, HISTORY_SIZE), as_of, hours)
+    kept = recent(kept_history(feed, HISTORY_SIZE, order), as_of, hours)
     named = kept.where(F.col("zone_id").isNotNull() & F.col("zone_name").isNotNull())
     return (
         named.groupBy("zone_id", "zone_name")
