@@ -91,7 +91,8 @@ def enrich(
     """Readings (29 columns) of every station for every raw record.
 
     ``jitter_seed`` turns on replayable noise within each zone's variability.
+    What depends on time alone is computed before the fan-out, once per record.
     """
-    stations = time_flags(station_fanout(raw, registry))
+    stations = station_fanout(time_flags(time_enrichment(raw)), registry)
     scaled = scale_particles(scale_pm(station_factor(stations, jitter_seed)), jitter_seed)
-    return select_reading(time_enrichment(score(scaled, null_aqi)))
+    return select_reading(score(scaled, null_aqi))

@@ -69,9 +69,8 @@ def registry_summary(registry: DataFrame) -> DataFrame:
     per_zone = registry.groupBy("zone_id", "zone_name", "pm_factor").agg(
         F.count("*").alias("stations")
     )
-    totals = per_zone.agg(
-        F.sum("stations").alias("total_stations"),
-        F.count_distinct("zone_id").alias("total_zones"),
-    )
-    # One row by construction: an aggregate without keys.
-    return per_zone.join(F.broadcast(totals))
+    totals = {
+        "total_stations": per_zone.agg(F.sum("stations")),
+        "total_zones": per_zone.agg(F.count_distinct("zone_id")),
+    }
+    return per_zone.withColumns({name: total.scalar() for name, total in totals.items()})

@@ -18,7 +18,7 @@ from sensorgrid.plans.views import current_zone_windows, register_views
 from sensorgrid.schemas import MESSAGE, READING, STATION
 from sensorgrid.session import new_path
 from sensorgrid.sinks.payload import replay_payload, to_payload, zones_payload
-from sensorgrid.sinks.writers import multi_sink, table_sink, topic_sink, write_csv
+from sensorgrid.sinks.writers import multi_sink, split_sink, table_sink, topic_sink, write_csv
 from sensorgrid.sources import messages as M
 from sensorgrid.sources.csv_files import csv_scan
 from sensorgrid.streaming import jobs as J
@@ -177,10 +177,12 @@ def dq_split_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
             "sensor_id": F.when(F.col("particles_25") > 0, F.col("sensor_id")),
         }
     )
-    valid, quarantine = Q.dq_split(rows, "reading")
-    reasons = F.concat_ws("; ", "reasons")
-    both = valid.withColumn("reasons", F.lit("")).unionByName(quarantine.withColumn("reasons", reasons))
-    return both.select("sensor_id", "zone_name", "datetime", "reasons")
+    kept, refused = new_path(spark, "readings"), new_path(spark, "quarantine")
+    multi_sink(split_sink("reading", table_sink(kept), table_sink(refused)))(rows, 0)
+    names = ("sensor_id", "zone_name", "datetime")
+    valid = spark.read.parquet(kept).select(*names, F.lit("").alias("reasons"))
+    quarantine = spark.read.parquet(refused)
+    return valid.unionByName(quarantine.select(*names, F.concat_ws("; ", "reasons").alias("reasons")))
 
 
 @query
@@ -541,7 +543,8 @@ def stream_stateless_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         table_sink(table, event_date="datetime", sort_by=("zone_id", "datetime")),
         topic_sink("readings", fmt="parquet", path=topic),
     )
-    _run(J.readings_stream(feed, R.station_rows()), sink, "append")
+    cores = spark.sparkContext.defaultParallelism
+    _run(J.readings_stream(feed, R.station_rows(), spread=cores), sink, "append")
     names = ("sensor_id", "datetime", "pm2_5_atm", "aqi", "period")
     stored = spark.read.parquet(table).select(F.lit("table").alias("sink"), *names)
     data = F.from_json("value", READING).alias("data")
@@ -575,7 +578,8 @@ def stream_zone_of_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job as one stream: raw messages, stations, one-minute zone windows."""
     path = new_path(spark, "station-zones")
     stations = R.station_rows()
-    rows = J.readings_stream(B.raw_feed(B.event_stream(spark, sf_dir)), stations)
+    feed = B.raw_feed(B.event_stream(spark, sf_dir))
+    rows = J.readings_stream(feed, stations, spread=spark.sparkContext.defaultParallelism)
     zones = J.zone_stream(rows, stations=[s["sensor_id"] for s in stations])
     _run(zones, multi_sink(table_sink(path, shape=Z.array_to_csv)), "update")
     return current_zone_windows(J.read_versions(spark, path))

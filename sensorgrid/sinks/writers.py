@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from sensorgrid.operators.quality import dq_split
 from sensorgrid.sinks.payload import to_payload
 from sensorgrid.sources.csv_files import OPTIONS as CSV_OPTIONS
 
@@ -115,6 +116,20 @@ def multi_sink(*sinks: Sink) -> Sink:
     return write
 
 
+def split_sink(contract: str, valid: Sink, quarantine: Sink) -> Sink:
+    """Rows that meet a table contract to one sink, the others with reasons to another.
+
+    Within ``multi_sink`` both parts are cut from the batch computed once.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        good, bad = dq_split(batch, contract)
+        valid(good, batch_id)
+        quarantine(bad, batch_id)
+
+    return write
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header; a sorted frame gives files whose name order is the row order."""
     df.write.options(**CSV_OPTIONS).csv(path)
