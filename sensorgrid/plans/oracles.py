@@ -297,7 +297,7 @@ oracle(
         CAST(gr03um AS VARCHAR) AS gr03um FROM faulty""",
 )
 oracle(
-    "csv_scan_rows csv_sorted", "t AS (SELECT * FROM events)",
+    "csv_scan csv_sorted", "t AS (SELECT * FROM events)",
     "SELECT event_id, ts AS datetime, user_id, event_type, value, props FROM t",
 )
 oracle("feed_ingest", FEED, f"SELECT {FEED_COLUMNS} FROM feed")
@@ -317,7 +317,7 @@ oracle(
         FROM faulty""",
 )
 oracle(
-    "dq_split_readings", READINGS,
+    "dq_split", READINGS,
     """SELECT CASE WHEN particles_25 > 0 THEN sensor_id END AS sensor_id,
         repeat(zone_name, particles_25) AS zone_name, datetime,
         concat_ws('; ', CASE WHEN particles_25 = 0 THEN 'sensor_id is null' END,
@@ -353,7 +353,7 @@ oracle(
         (SELECT count(DISTINCT zone_id) FROM registry) AS total_zones
         FROM registry GROUP BY zone_id, zone_name, pm_factor""",
 )
-oracle("station_fanout_rows", STATIONS, f"SELECT datetime, pm25_raw, {STATION_COLUMNS} FROM placed")
+oracle("station_fanout", STATIONS, f"SELECT datetime, pm25_raw, {STATION_COLUMNS} FROM placed")
 oracle(
     "rush_hour_and_night", RAW,
     f"SELECT datetime, hour, {RUSH} AS is_rush_hour, {NIGHT} AS is_night FROM ingested",
@@ -371,7 +371,7 @@ oracle(
     "SELECT sensor_id, datetime, pm2_5_atm, particles_03, aqi FROM readings",
 )
 oracle(
-    "keyed_jitter_factor", "t AS (SELECT * FROM events)",
+    "keyed_jitter", "t AS (SELECT * FROM events)",
     f"""SELECT event_id, {d(1)} + (CAST(CAST('0x' || substr(md5('11|' || event_id || '|' || user_id), 1, 13)
         AS BIGINT) AS DOUBLE) / {d(4503599627370496)} * {d(2)} - {d(1)}) * {d(0.25)} AS factor FROM t""",
 )
@@ -395,7 +395,7 @@ oracle(
     f"SELECT event_id, CAST(aqi AS VARCHAR) AS aqi, {category_sql('aqi')} AS category, {color_sql('aqi')} AS color FROM t",
 )
 oracle(
-    "time_enrichment_columns", "t AS (SELECT event_id, ts AS datetime FROM events)",
+    "time_enrichment", "t AS (SELECT event_id, ts AS datetime FROM events)",
     f"SELECT event_id, datetime, {time_sql('datetime')} FROM t",
 )
 oracle(
@@ -405,7 +405,7 @@ oracle(
 
 # --- zone windows ----------------------------------------------------------
 
-oracle("zone_window_agg stream_zone_update kafka_zones_payload", ZONES, f"SELECT {ZONE_COLUMNS} FROM zones")
+oracle("zone_window_agg stream_zone_update_keep_last kafka_zones_payload", ZONES, f"SELECT {ZONE_COLUMNS} FROM zones")
 oracle(
     "zone_window_agg_minutes stream_zone_of_stations", f"{STATIONS}, {windows_sql('minute')}",
     f"SELECT {ZONE_COLUMNS} FROM zones",
@@ -453,7 +453,7 @@ oracle("latest_sensor_readings", READINGS, f"SELECT {SENSOR_VIEW} FROM readings
 oracle("latest_zone_averages", ZONES, f"SELECT {ZONE_VIEW} FROM zones {LAST_ZONE}")
 oracle("latest_by_arrival latest_measurements", LATEST, f"SELECT {FEED_COLUMNS} FROM latest")
 HISTORY_COLUMNS = 'zone_id, sensor_id, datetime, aqi, "offset"'
-oracle("history_last_500 stream_history", history_sql(500), f"SELECT {HISTORY_COLUMNS} FROM history")
+oracle("history_last_n stream_history", history_sql(500), f"SELECT {HISTORY_COLUMNS} FROM history")
 oracle("history_last_100", history_sql(100), f"SELECT {HISTORY_COLUMNS} FROM history")
 oracle("zone_history_size", history_sql(500), "SELECT zone_id, count(*) AS kept FROM history GROUP BY zone_id")
 
@@ -504,12 +504,12 @@ oracle(
         regexp_replace(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '\\.000000$', '') AS datetime,
         user_id, event_type, value FROM t""",
 )
-oracle("kafka_readings_payload", READINGS, f"SELECT {READING_COLUMNS} FROM readings")
+oracle("kafka_readings_payload stream_stateless", READINGS, f"SELECT {READING_COLUMNS} FROM readings")
 
 # --- streams ---------------------------------------------------------------
 
 oracle(
-    "stream_stateless_append", STATIONS,
+    "dual_sink_roundtrip", STATIONS,
     """SELECT 'table' AS sink, sensor_id, datetime, pm2_5_atm, aqi, period FROM readings
         UNION ALL SELECT 'readings', sensor_id, datetime, pm2_5_atm, aqi, period FROM readings""",
 )

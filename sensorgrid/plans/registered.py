@@ -35,7 +35,8 @@ CSV_COLUMNS = "event_id bigint, datetime timestamp_ntz, user_id bigint, event_ty
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Registers a query under its name; a trailing underscore keeps it off an operator's."""
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -118,7 +119,7 @@ def ingest_json_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def csv_scan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def csv_scan_(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "csv")
     write_csv(B.events(spark, sf_dir).withColumnRenamed("ts", "datetime"), path)
     return csv_scan(spark, path, CSV_COLUMNS)
@@ -170,7 +171,7 @@ def dq_split_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def dq_split_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dq_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _readings(spark, sf_dir).withColumns(
         {
             "zone_name": F.expr("repeat(zone_name, particles_25)"),
@@ -230,7 +231,7 @@ def registry_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def station_fanout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def station_fanout_(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = station_fanout(_raw(spark, sf_dir), R.registry_table(spark))
     return rows.select("datetime", "pm25_raw", *STATION.fieldNames())
 
@@ -271,7 +272,7 @@ def enrich_readings_jittered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def keyed_jitter_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
+def keyed_jitter_(spark: SparkSession, sf_dir: str) -> DataFrame:
     factor = keyed_jitter([F.col("event_id"), F.col("user_id")], F.lit(0.25), seed=11)
     return B.events(spark, sf_dir).select("event_id", factor.alias("factor"))
 
@@ -326,7 +327,7 @@ def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def time_enrichment_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def time_enrichment_(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = B.events(spark, sf_dir).select("event_id", F.col("ts").alias("datetime"))
     return time_enrichment(rows)
 
@@ -409,7 +410,7 @@ def latest_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def history_last_500(spark: SparkSession, sf_dir: str) -> DataFrame:
+def history_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = S.kept_history(_readings(spark, sf_dir), 500, L.ARRIVAL)
     return kept.select("zone_id", "sensor_id", "datetime", "aqi", "offset")
 
@@ -520,7 +521,7 @@ def kafka_zones_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.select(F.from_json("value", zones.schema).alias("data")).select("data.*")
 
 
-# --- streams ---------------------------------------------------------------
+# --- sinks and streams ---------------------------------------------------------------
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -535,7 +536,7 @@ def _run(df: DataFrame, sink, mode: str) -> None:
 
 
 @query
-def stream_stateless_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dual_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw messages to readings, to a table and a topic; both read back."""
     feed = B.raw_feed(B.event_stream(spark, sf_dir))
     table, topic = new_path(spark, "readings"), new_path(spark, "readings-topic")
@@ -553,7 +554,15 @@ def stream_stateless_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def stream_zone_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_stateless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of a stream, appended to a table."""
+    path = new_path(spark, "readings")
+    _run(_stream(spark, sf_dir), table_sink(path, event_date="datetime"), "append")
+    return spark.read.parquet(path).select(*READING.fieldNames())
+
+
+@query
+def stream_zone_update_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two changelogs of update mode, reduced to the newest versions and joined."""
     zones, sensors = new_path(spark, "zones"), new_path(spark, "zone-sensors")
     _run(J.zone_stream(_stream(spark, sf_dir), LENGTH), table_sink(zones), "update")
