@@ -520,7 +520,7 @@ oracle(
 )
 oracle("stream_latest", LATEST, f"SELECT * EXCLUDE (received_at) FROM (SELECT {FEED_COLUMNS} FROM latest)")
 oracle(
-    "stream_two_queries", ZONES,
+    "stream_two_queries", f"{STATIONS}, {windows_sql('hour')}",
     """SELECT zone_id, (SELECT count(*) FROM readings r WHERE r.zone_id = z.zone_id) AS readings,
         count(*) AS windows, CAST(sum(active_sensors) AS BIGINT) AS active_sensors
         FROM zones z GROUP BY zone_id""",

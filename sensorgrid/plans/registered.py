@@ -22,6 +22,7 @@ from sensorgrid.sinks.writers import multi_sink, split_sink, table_sink, topic_s
 from sensorgrid.sources import messages as M
 from sensorgrid.sources.csv_files import csv_scan
 from sensorgrid.streaming import jobs as J
+from sensorgrid.streaming.app import start_service
 from sensorgrid.streaming.changelog import keep_last
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -611,17 +612,15 @@ def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_two_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings and zone windows of one source, as two queries side by side."""
+    """The service: readings and zone windows of one feed, as two queries side by side."""
     readings, zones = new_path(spark, "readings"), new_path(spark, "zones")
     cores = spark.sparkContext.defaultParallelism
-    ends = {"availableNow": True}
-    running = [
-        J.start(_stream(spark, sf_dir), table_sink(readings), "append", new_path(spark, "state"), ends),
-        J.start(
-            J.zone_stream(_stream(spark, sf_dir), LENGTH), table_sink(zones), "update",
-            new_path(spark, "state"), ends, state_partitions=cores,
-        ),
-    ]
+    running = start_service(
+        B.raw_feed(B.event_stream(spark, sf_dir)), R.station_rows(),
+        [table_sink(readings)], [table_sink(zones, shape=Z.array_to_csv)],
+        new_path(spark, "checkpoints"), {"availableNow": True}, LENGTH,
+        state_partitions=cores, spread=cores,
+    )
     for each in running:
         each.awaitTermination()
     stored = spark.read.parquet(readings).groupBy("zone_id").agg(F.count("*").alias("readings"))

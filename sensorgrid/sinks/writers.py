@@ -71,29 +71,31 @@ def jdbc_sink(
     table: str,
     properties: dict[str, str],
     shape: Callable[[DataFrame], DataFrame] | None = None,
-    row_key: Sequence[str] | None = None,
+    batch_column: str | None = None,
     connections: int = 16,
     batch_size: int = 10_000,
 ) -> Sink:
     """Appends to a database table over at most ``connections`` connections.
 
-    With ``row_key`` (columns that tell the rows of a batch apart) a ``batch_id``
-    column is written as well, and rows a failed attempt of the same batch has
-    already committed are left out. The look-up reads that batch's keys only.
+    With ``batch_column`` (a bigint column of the table, best indexed) the batch's
+    number is written as well, and rows that a failed attempt of the same batch
+    has already committed are left out, counted one by one. Without it a retried
+    batch may leave rows twice.
     """
 
+    def missing(rows: DataFrame, batch_id: int) -> DataFrame:
+        attempt = f"(SELECT * FROM {table} WHERE {batch_column} = {batch_id}) attempt"
+        done = rows.sparkSession.read.jdbc(url, attempt, properties=properties)
+        if done.isEmpty():
+            return rows
+        typed = [F.col(f.name).cast(f.dataType) for f in rows.schema]
+        return rows.exceptAll(done.select(*typed))
+
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = shape(batch) if shape else batch
-        if row_key:
-            keys = ", ".join(row_key)
-            done = rows.sparkSession.read.jdbc(
-                url,
-                f"(SELECT {keys} FROM {table} WHERE batch_id = {batch_id}) done",
-                properties=properties,
-            )
-            rows = rows.join(done, list(row_key), "left_anti").withColumn(
-                "batch_id", F.lit(batch_id).cast("bigint")
-            )
+        if batch_column:
+            number = F.lit(batch_id).cast("bigint")
+            rows = missing(rows, batch_id).withColumn(batch_column, number)
         rows.coalesce(connections).write.option("batchsize", batch_size).jdbc(
             url, table, mode="append", properties=properties
         )
