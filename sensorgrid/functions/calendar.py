@@ -22,6 +22,23 @@ def event_time(date: Column, time: Column) -> Column:
     return F.concat(date, F.lit(" "), time).try_cast("timestamp_ntz")
 
 
+def _epochs() -> tuple[Column, Column]:
+    """1970 as an instant and as zone-less time."""
+    return F.timestamp_seconds(F.lit(0)), F.lit("1970-01-01").cast("timestamp_ntz")
+
+
+def as_instant(ts: Column) -> Column:
+    """Zone-less time read as UTC, whatever the session's zone."""
+    instant, zoneless = _epochs()
+    return instant + (ts - zoneless)
+
+
+def as_zoneless(ts: Column) -> Column:
+    """The UTC reading of an instant, whatever the session's zone."""
+    instant, zoneless = _epochs()
+    return zoneless + (ts - instant)
+
+
 def rush_hour(hour: Column) -> Column:
     within = reduce(lambda a, b: a | b, [hour.between(*span) for span in RUSH_HOURS])
     return F.coalesce(within, F.lit(False))
