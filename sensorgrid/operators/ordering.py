@@ -14,9 +14,13 @@ POSITION_BITS = 33
 def sort_by_time(df: DataFrame, col: str = "datetime", tiebreak: Sequence[str] = ()) -> DataFrame:
     """Ascending by time: range-partitioned, so files in name order are sorted.
 
-    Ties are split across tasks only if ``tiebreak`` tells them apart.
+    Rows that tie keep the order they are scanned in. Their place in the scan is
+    the last sort key, so that many rows of one time, even whole copies, are
+    split across tasks. A scan that runs again gives the same places; for other
+    frames write the table first.
     """
-    return df.orderBy(col, *tiebreak)
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    return placed.orderBy(col, *tiebreak, "_place").drop("_place")
 
 
 def with_row_index(sorted_df: DataFrame, name: str = "row_index") -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import glob
 from collections import Counter, defaultdict
 
 import pytest
@@ -11,7 +12,9 @@ from sensorgrid.operators.ordering import sort_by_time, with_row_index
 from sensorgrid.operators.quality import dq_split
 from sensorgrid.plans import bindings as B, serving as S
 from sensorgrid.schemas import READING, STATION, ZONE_WINDOW
+from sensorgrid.sinks.writers import write_csv
 from sensorgrid.sources import messages as M
+from sensorgrid.sources.csv_files import csv_scan
 from sensorgrid.streaming.changelog import keep_last
 
 
@@ -189,6 +192,26 @@ def test_row_index_follows_the_order_and_splits_ties(spark):
     assert keys == sorted(keys)
 
 
+def test_copies_are_split_across_tasks(spark, tmp_path):
+    rows = spark.range(60000).selectExpr(
+        "CASE WHEN id % 3 < 2 THEN timestamp_ntz'2024-01-01' ELSE timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id - 30000) END AS datetime"
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    ordered = sort_by_time(spark.read.parquet(str(tmp_path / "rows")))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in ordered.groupBy(F.spark_partition_id()).count().collect()]
+        written = str(tmp_path / "sorted")
+        write_csv(ordered, written)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 60000 and max(sizes) < 15000
+    times = []
+    for file in sorted(glob.glob(f"{written}/*.csv")):
+        times += [r.datetime for r in csv_scan(spark, file, "datetime timestamp_ntz").collect()]
+    assert times == sorted(times) and len(times) == 60000
+
+
 # --- serving
 
 
