@@ -150,14 +150,19 @@ def zone_window_agg(
     readings: DataFrame,
     length: str = ZONE_WINDOW_LENGTH,
     max_listed: int = MAX_LISTED_READINGS,
+    stations: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Zone windows, 20 columns. Batch only; see streaming.jobs for streams.
+    """Zone windows, 20 columns. ``active_sensors`` counts readings, as the id list does.
 
-    ``active_sensors`` counts readings, as the id list does.
+    With ``stations`` (all ids of a bounded registry) one pass and one shuffle
+    do, and streams can run it. Without, batch only: the ids come from a second
+    pass over four columns.
     """
-    zones = attach_sensor_ids(
-        zone_measures(readings, length), zone_window_sensors(readings, length), max_listed
-    )
+    if stations is not None:
+        zones = station_id_list(readings, length, stations, max_listed)
+    else:
+        sensors = zone_window_sensors(readings, length)
+        zones = attach_sensor_ids(zone_measures(readings, length), sensors, max_listed)
     return zones.select(*ZONE_WINDOW.fieldNames())
 
 

@@ -349,8 +349,10 @@ def zone_window_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def zone_window_agg_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way from raw messages to one-minute zone windows."""
-    rows = E.enrich(_raw(spark, sf_dir), R.station_rows())
-    return Z.array_to_csv(Z.zone_window_agg(rows))
+    stations = R.station_rows()
+    rows = E.enrich(_raw(spark, sf_dir), stations)
+    ids = [s["sensor_id"] for s in stations]
+    return Z.array_to_csv(Z.zone_window_agg(rows, stations=ids))
 
 
 @query

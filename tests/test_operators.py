@@ -128,10 +128,13 @@ def test_station_counters_equal_the_list(raw):
     stations = R.station_rows()
     rows = E.enrich(raw, stations)
     ids = [s["sensor_id"] for s in stations]
-    counted = Z.station_id_list(rows, "1 hour", ids)
+    counted = Z.zone_window_agg(rows, "1 hour", stations=ids)
     assert same(counted, Z.zone_window_agg(rows, "1 hour"))
+    assert plan(counted).count("hashpartitioning") == 1
     # An unknown sensor makes the list incomplete, so there is none.
-    assert Z.station_id_list(rows, "1 hour", ids[1:]).where("sensor_ids IS NULL").count() > 0
+    assert Z.zone_window_agg(rows, "1 hour", stations=ids[1:]).where("sensor_ids IS NULL").count() > 0
+    with pytest.raises(ValueError):
+        Z.zone_window_agg(rows, stations=[str(i) for i in range(201)])
 
 
 def test_zone_table_types(readings):
