@@ -1,8 +1,8 @@
 """The whole service as one Spark application: raw topic to tables and topics.
 
     spark-submit --packages <kafka connector>,<jdbc driver> sensorgrid/streaming/app.py \\
-        --topic raw --checkpoints s3://bucket/checkpoints \\
-        --readings-table s3://bucket/readings --zones-table s3://bucket/zones
+        --topic raw --checkpoints /lake/checkpoints \\
+        --readings-table /lake/readings --zones-table /lake/zones
 
 Credentials come from the environment: BROKER_SERVERS, BROKER_USER,
 BROKER_PASSWORD and, with ``--jdbc-url``, DB_USER and DB_PASSWORD.
