@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorgrid.llm import bpe, sharding, warc
+from sensorgrid.llm import blob_ledger, bpe, langid, quality, sharding, warc
 from sensorgrid.llm.common import table
 
 
@@ -27,10 +27,22 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blob_ledger.secret_spans(table(spark, sf_dir, "documents"))
+
+
+def op5_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
@@ -40,8 +52,11 @@ def op8_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
+    "op4_blob_ledger_secrets": op4_blob_ledger_secrets,
+    "op5_adaptive_quality": op5_adaptive_quality,
     "op6_bpe": op6_bpe,
     "op8_kd_tree_shards": op8_kd_tree_shards,
+    "op9_language_mixture": op9_language_mixture,
 }
 
 ORACLES: dict[str, str] = {
