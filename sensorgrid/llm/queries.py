@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorgrid.llm import blob_ledger, bpe, langid, quality, sharding, warc
+from sensorgrid.llm import blob_ledger, bpe, decontamination, langid, quality, sharding, warc
 from sensorgrid.llm.common import table
 
 
@@ -21,6 +21,10 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_rare_shingle_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok"
@@ -51,6 +55,7 @@ def op8_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_rare_shingle_decontamination": op2_rare_shingle_decontamination,
     "op3_warc": op3_warc,
     "op4_blob_ledger_secrets": op4_blob_ledger_secrets,
     "op5_adaptive_quality": op5_adaptive_quality,
