@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorgrid.llm import blob_ledger, bpe, decontamination, langid, quality, sharding, warc
+from sensorgrid.llm import blob_ledger, bpe, decontamination, jaccard_join, langid, quality, sharding, warc
 from sensorgrid.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op8_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_group_count_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_rare_shingle_decontamination": op2_rare_shingle_decontamination,
     "op3_warc": op3_warc,
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
     "op8_kd_tree_shards": op8_kd_tree_shards,
     "op9_language_mixture": op9_language_mixture,
+    "op10_group_count_jaccard_join": op10_group_count_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
