@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorgrid.llm import blob_ledger, bpe, decontamination, jaccard_join, langid, quality, sharding, warc
+from sensorgrid.llm import blob_ledger, bpe, decontamination, jaccard_join, langid, quality, sharding, suffix_dedup, warc
 from sensorgrid.llm.common import table
 
 
@@ -47,6 +47,10 @@ def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_sampled_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_blob_ledger_secrets": op4_blob_ledger_secrets,
     "op5_adaptive_quality": op5_adaptive_quality,
     "op6_bpe": op6_bpe,
+    "op7_sampled_suffix_dedup": op7_sampled_suffix_dedup,
     "op8_kd_tree_shards": op8_kd_tree_shards,
     "op9_language_mixture": op9_language_mixture,
     "op10_group_count_jaccard_join": op10_group_count_jaccard_join,
