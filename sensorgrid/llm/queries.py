@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorgrid.llm import blob_ledger, bpe, decontamination, jaccard_join, langid, quality, sharding, suffix_dedup, warc
+from sensorgrid.llm import blob_ledger, bpe, decontamination, jaccard_join, langid, line_dedup, quality, sharding, suffix_dedup, warc
 from sensorgrid.llm.common import table
 
 
@@ -21,6 +21,10 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op2_rare_shingle_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -63,6 +67,7 @@ def op10_group_count_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fuzzy_line_dedup": op1_fuzzy_line_dedup,
     "op2_rare_shingle_decontamination": op2_rare_shingle_decontamination,
     "op3_warc": op3_warc,
     "op4_blob_ledger_secrets": op4_blob_ledger_secrets,

@@ -36,13 +36,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from sensorgrid.llm.bitmap import bitmap, in_bitmap
 from sensorgrid.llm.common import arrow_map, saved
 from sensorgrid.llm.textscan import pieces, prefix_hash, span_hash
 
 LENGTH = 400
 GRAM = 50
 PIECE = 1 << 19
-BITMAP_BITS = 25
 #: Contexts of one gram that are compared in one task; more are compared across tasks.
 GROUP_ROWS = 4096
 BATCH_BYTES = 2 << 20
@@ -97,22 +97,6 @@ class Anchors:
         )
 
 
-def bitmap(keys: DataFrame) -> np.ndarray:
-    """A bit for every value of the one long column; ``2**BITMAP_BITS`` bits, whatever the input."""
-    key = F.col(keys.columns[0])
-    word = F.shiftrightunsigned(key, 64 - BITMAP_BITS + 6).alias("word")
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(`{keys.columns[0]}`, {64 - BITMAP_BITS}) & 63 as int))")
-    rows = keys.groupBy(word).agg(F.bit_or(bit).alias("bits")).toArrow()
-    out = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
-    out[rows.column("word").to_numpy().astype(np.int64)] = rows.column("bits").to_numpy().view(np.uint64)
-    return out
-
-
-def in_bitmap(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
-    place = key >> np.uint64(64 - BITMAP_BITS)
-    return ((bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
-
-
 def _occurrence(gram: np.ndarray, context: np.ndarray, key: np.ndarray, start: np.ndarray) -> np.ndarray:
     """A number for one place of one context, for the bitmap; ``key`` has one value per text."""
     x = gram ^ (context * np.uint64(3)) ^ (key * np.uint64(5)) ^ (start.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))

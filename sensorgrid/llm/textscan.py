@@ -110,3 +110,10 @@ def rows_of(begin: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def segment_counts(row: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(row, minlength=n).astype(np.int64)
+
+
+def sequence_hash(word: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of the word sequences [first, last), from the words' hashes."""
+    forth, back = powers(len(word) + 1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(word * forth[: len(word)], dtype=np.uint64)))
+    return mix((sums[last] - sums[first]) * back[first] + (last - first).astype(np.uint64))
