@@ -118,11 +118,12 @@ def token_sketch(docs: DataFrame, size: int = SHINGLE_WORDS) -> np.ndarray:
     return np.minimum(2 * above, LEVELS).astype(np.uint8)
 
 
-def prefix_size(n: int) -> int:
-    return n - (SIMILAR * n + OF - 1) // OF + 1
+def prefix_size(n: int, similar: int = SIMILAR, of: int = OF) -> int:
+    """Tokens a set is filed under: with fewer in common than the rest, sets are not similar."""
+    return n - (similar * n + of - 1) // of + 1
 
 
-def points(docs: DataFrame, level: np.ndarray, size: int = SHINGLE_WORDS) -> DataFrame:
+def points(docs: DataFrame, level: np.ndarray, size: int, similar: int, of: int) -> DataFrame:
     """Every row's class, size, group counts and the tokens it is filed under."""
     held = docs.sparkSession.sparkContext.broadcast(level.tobytes())
 
@@ -141,7 +142,7 @@ def points(docs: DataFrame, level: np.ndarray, size: int = SHINGLE_WORDS) -> Dat
                     if not len(own):
                         kind.append(0), vector.append(None), prefix.append(None)
                         continue
-                    order = np.lexsort((own, rank[(ends[r - 1] if r else 0) : ends[r]]))[: prefix_size(len(own))]
+                    order = np.lexsort((own, rank[(ends[r - 1] if r else 0) : ends[r]]))[: prefix_size(len(own), similar, of)]
                     # The set's name: a sum does not depend on the order of its members.
                     name = mix(np.array([np.sum(mix(own + np.uint64(1)), dtype=np.uint64) + np.uint64(len(own))]))
                     kind.append(int(name.view(np.int64)[0]))
@@ -178,11 +179,6 @@ def set_arrays(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS) ->
     return arrow_map(chosen, task, "class long, members array<long>").dropDuplicates(["class"])
 
 
-def may_link(n1: Column, n2: Column, overlap: Column) -> Column:
-    """Whether sets of these sizes that share ``overlap`` tokens are similar."""
-    return (SIMILAR + OF) * overlap >= SIMILAR * (n1 + n2)
-
-
 def minima(left: Column, right: Column) -> Column:
     return F.aggregate(F.zip_with(left, right, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
 
@@ -190,9 +186,9 @@ def minima(left: Column, right: Column) -> Column:
 class Join:
     """The join over one table of documents; every intermediate result is written."""
 
-    def __init__(self, docs: DataFrame, size: int = SHINGLE_WORDS) -> None:
-        self.docs, self.size = docs, size
-        self.rows = saved(points(docs, token_sketch(docs, size), size), "jaccard-rows")
+    def __init__(self, docs: DataFrame, size: int = SHINGLE_WORDS, similar: int = SIMILAR, of: int = OF) -> None:
+        self.docs, self.size, self.similar, self.of = docs, size, similar, of
+        self.rows = saved(points(docs, token_sketch(docs, size), size, similar, of), "jaccard-rows")
         filled = self.rows.where("n > 0")
         self.point = saved(
             filled.groupBy("class").agg(
@@ -203,6 +199,10 @@ class Join:
         )
         self.tokens = self.point.select("class", "n", F.explode("prefix").alias("token"))
 
+    def may_link(self, n1: Column, n2: Column, overlap: Column) -> Column:
+        """Whether sets of these sizes that share ``overlap`` tokens are similar."""
+        return (self.similar + self.of) * overlap >= self.similar * (n1 + n2)
+
     def links(self) -> DataFrame:
         """Links that connect whatever is connected; not all links inside a component."""
         leaders = saved(
@@ -223,8 +223,8 @@ class Join:
         near = (
             pairs.join(p.withColumnsRenamed({"class": "a", "n": "na", "groups": "ga"}), "a")
             .join(p.withColumnsRenamed({"class": "b", "n": "nb", "groups": "gb"}), "b")
-            .where(may_link(F.col("na"), F.col("nb"), F.least("na", "nb")))
-            .where(may_link(F.col("na"), F.col("nb"), minima(F.col("ga"), F.col("gb"))))
+            .where(self.may_link(F.col("na"), F.col("nb"), F.least("na", "nb")))
+            .where(self.may_link(F.col("na"), F.col("nb"), minima(F.col("ga"), F.col("gb"))))
             .select("a", "b", "na", "nb")
         )
         near = saved(near, "jaccard-near")
@@ -238,7 +238,7 @@ class Join:
         return saved(
             near.join(sets.withColumnsRenamed({"class": "b", "members": "sb"}), "b")
             .join(sets.withColumnsRenamed({"class": "a", "members": "sa"}), "a")
-            .where(may_link(F.col("na"), F.col("nb"), overlap))
+            .where(self.may_link(F.col("na"), F.col("nb"), overlap))
             .select("a", "b"),
             "jaccard-links",
         )
@@ -262,7 +262,7 @@ class Join:
             F.slice("groups", 1, 6), F.lit(0),
             lambda s, x: s * 2 + F.when(x * GROUPS > F.col("n"), F.lit(1)).otherwise(F.lit(0)),
         )
-        band = F.floor(F.log("n") / float(-np.log(SIMILAR / OF))).cast("int")
+        band = F.floor(F.log("n") / float(-np.log(self.similar / self.of))).cast("int")
         entry = (
             named.join(mixed, "token").join(self.point.select("class", "groups"), "class")
             .withColumn("band", band).withColumn("side", sides)
@@ -289,9 +289,10 @@ class Join:
         least, most = F.col("least1") + F.col("least2"), minima(F.col("top1"), F.col("top2"))
         opened = one.join(two, "token").where(
             (F.col("page1") <= F.col("page2"))
-            & (OF * F.col("most1") >= SIMILAR * F.col("least2")) & (OF * F.col("most2") >= SIMILAR * F.col("least1"))
+            & (self.of * F.col("most1") >= self.similar * F.col("least2"))
+            & (self.of * F.col("most2") >= self.similar * F.col("least1"))
             & ~((F.col("lo1") == F.col("hi1")) & (F.col("lo1") == F.col("lo2")) & (F.col("lo2") == F.col("hi2")))
-            & ((SIMILAR + OF) * most >= SIMILAR * least)
+            & ((self.similar + self.of) * most >= self.similar * least)
         )
         pair = opened.select(F.col("rows2").alias("rows2"), F.explode("rows1").alias("x")).select(
             "x", F.explode("rows2").alias("y")
@@ -299,8 +300,8 @@ class Join:
         x, y = F.col("x"), F.col("y")
         return (
             pair.where((x["component"] != y["component"]) & (x["class"] != y["class"]))
-            .where(may_link(x["n"], y["n"], F.least(x["n"], y["n"])))
-            .where(may_link(x["n"], y["n"], minima(x["groups"], y["groups"])))
+            .where(self.may_link(x["n"], y["n"], F.least(x["n"], y["n"])))
+            .where(self.may_link(x["n"], y["n"], minima(x["groups"], y["groups"])))
             .select(F.least(x["class"], y["class"]).alias("a"), F.greatest(x["class"], y["class"]).alias("b"))
             .distinct()
         )
@@ -325,9 +326,9 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, similar: int = SIMILAR, of: int = OF) -> DataFrame:
     """One document of each group, that with the smallest doc_id; documents without words stay."""
-    rows = saved(Join(docs, size).grouped().where("component is not null"), "jaccard-grouped")
+    rows = saved(Join(docs, size, similar, of).grouped().where("component is not null"), "jaccard-grouped")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
     kept = saved(rows.groupBy("component").agg(F.min(order).alias("kept")), "jaccard-kept")
     keys = rows.join(kept, "component").where(order != F.col("kept"))
