@@ -12,7 +12,8 @@ second joins the anchors. The tables that documents are joined with hold the ben
 only; their rows are counted, and beyond ``MAX_BROADCAST_ROWS`` they are shuffled
 instead of broadcast. Texts are never shuffled. Only built-in functions are used.
 
-Cases: null text has no words; an item without words matches nothing; an item of fewer
+Cases: null text has no words; an item without words matches nothing; an item without an
+id is looked for, and its words are hits, but it is not listed; an item of fewer
 words than a shingle is looked for as a whole; equal texts have equal results, as have
 rows that repeat; empty tables give no rows, or documents without hits; other columns
 are not looked at.
