@@ -7,10 +7,11 @@ prefix. Documents' shingles are joined with those anchors where the text lies. A
 fixes the window's place (anchor's position less its offset), the place must fit
 between the text's ends, and the words there must be the window's words.
 
-The first pass over the texts counts the benchmark's shingles in the documents, the
-second joins the anchors. The tables that documents are joined with hold the benchmark
-only; their rows are counted, and beyond ``MAX_BROADCAST_ROWS`` they are shuffled
-instead of broadcast. Texts are never shuffled. Only built-in functions are used.
+One pass over the texts finds where the benchmark's shingles stand, which says how rare
+they are; only the anchors' places are followed up. The table that the texts' shingles
+are joined with holds the benchmark only; its rows are counted, and beyond
+``MAX_BROADCAST_ROWS`` it is shuffled instead of broadcast. Equal texts are looked up
+once. Only built-in functions are used.
 
 Cases: null text has no words; an item without words matches nothing; an item without an
 id is looked for, and its words are hits, but it is not listed; an item of fewer
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorgrid.llm.common import saved, text_digest
 
@@ -46,6 +47,10 @@ def words(text: str = "text") -> Column:
     return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
+def _digest() -> Column:
+    return F.unhex(text_digest())
+
+
 def shingles(word: Column, size: int) -> Column:
     """Hashes of all runs of ``size`` words, composed from the words' hashes."""
     one = F.transform(word, lambda w: F.xxhash64(w))
@@ -88,112 +93,105 @@ def _small(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= MAX_BROADCAST_ROWS else frame
 
 
-def _positions(text: DataFrame, k: int) -> DataFrame:
-    """Every shingle of k words of every text, with its position and the text's words."""
-    return text.select("*", F.posexplode(shingles(F.col("w"), k)).alias("pos", "token"))
-
+def postings(text: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """(digest, pos, k, token): where the windows' shingles stand in the texts.
 
-def token_counts(text: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
-    """(k, token, n): how often each of the windows' shingles occurs in the texts."""
-    counts = None
+    The texts' own words stay behind: a row that is made for every shingle must not
+    carry its text.
+    """
+    parts = []
     for k in sizes:
         wanted = saved(
             windows.where(F.col("k") == k).select(F.explode("tokens").alias("token")).distinct(), "benchmark-tokens"
         )
-        found = _positions(text, k).join(_small(wanted), "token").groupBy("token").agg(F.count("*").alias("n"))
-        found = found.select(F.lit(k).alias("k"), "token", "n")
-        counts = counts.unionByName(found) if counts else found
-    return counts
+        every = text.select("digest", F.posexplode(shingles(F.col("w"), k)).alias("pos", "token"))
+        parts.append(every.join(_small(wanted), "token").select("digest", "pos", F.lit(k).alias("k"), "token"))
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    return found.distinct()
 
 
-def anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """(k, token, offset, window): the rarest shingle of each window.
+def anchors(windows: DataFrame, found: DataFrame) -> DataFrame:
+    """(k, token, offset, window, items): the rarest shingle of each window, and whose it is.
 
     A window with a shingle that no text has cannot occur and gets none.
     """
-    each = windows.select("k", "window", "tokens").distinct().select(
-        "k", "window", F.size("tokens").alias("of"), F.posexplode("tokens").alias("offset", "token")
+    counts = found.groupBy("k", "token").agg(F.count("*").alias("n"))
+    each = windows.groupBy("k", "window", "tokens").agg(F.collect_set("item_id").alias("items")).select(
+        "k", "window", "items", F.size("tokens").alias("of"), F.posexplode("tokens").alias("offset", "token")
     )
     return (
         each.join(counts, ["k", "token"])
-        .groupBy("k", "window", "of")
+        .groupBy("k", "window", "items", "of")
         .agg(F.min(F.struct("n", "offset", "token")).alias("rarest"), F.count("*").alias("present"))
         .where(F.col("present") == F.col("of"))
-        .select("k", "window", F.col("rarest.token").alias("token"), F.col("rarest.offset").alias("offset"))
+        .select("k", "window", "items", F.col("rarest.token").alias("token"), F.col("rarest.offset").alias("offset"))
     )
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(digest, start, window) of all windows in all texts, and the items' windows."""
-    text = docs.select(text_digest().alias("digest"), words().alias("w"))
+def candidates(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(q2_digest, q2_found): the windows that may stand in a text, and where."""
     windows = saved(item_windows(benchmark), "benchmark-windows")
     sizes = sorted(r["k"] for r in windows.select("k").distinct().collect())  # five at most
-    found = None
-    if sizes:
-        anchor = saved(anchors(windows, token_counts(text, windows, sizes)), "benchmark-anchors")
-        for k in sizes:
-            start = F.col("pos") - F.col("offset")
-            size = F.size("window")
-            here = (
-                _positions(text, k)
-                .join(_small(anchor.where(F.col("k") == k)), "token")
-                .where((start >= 0) & (start + size <= F.size("w")))
-                .where(F.slice("w", start + 1, size) == F.col("window"))
-                .select("digest", start.alias("start"), "window")
-            )
-            found = found.unionByName(here) if found else here
-    else:
-        found = text.limit(0).select("digest", F.lit(0).alias("start"), F.col("w").alias("window"))
-    return saved(found.distinct(), "benchmark-occurrences"), windows
-
-
-def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(digest, n_hit, n_items, items) of the texts that have occurrences."""
-    found, windows = occurrences(docs, benchmark)
-    before = W.partitionBy("digest").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
-    covered = (
-        # Of windows that start together the longest counts; then each adds what lies
-        # behind the furthest end so far.
-        found.groupBy("digest", "start")
-        .agg(F.max(F.size("window")).alias("size"))
-        .withColumn("reach", F.coalesce(F.max(F.col("start") + F.col("size")).over(before), F.lit(0)))
-        .groupBy("digest")
-        .agg(F.sum(F.greatest(F.col("start") + F.col("size") - F.greatest("start", "reach"), F.lit(0))).alias("n_hit"))
+    kind = "array<struct<start:int,window:array<string>,items:array<string>>>"
+    if not sizes:
+        return docs.limit(0).select(_digest().alias("q2_digest"), F.lit(None).cast(kind).alias("q2_found"))
+    text = docs.select(_digest().alias("digest"), words().alias("w"))
+    found = saved(postings(text, windows, sizes), "benchmark-postings")
+    anchor = saved(anchors(windows, found), "benchmark-anchors")
+    start = F.col("pos") - F.col("offset")
+    place = found.join(anchor, ["k", "token"]).where(start >= 0)
+    rows = place.groupBy("digest").agg(F.collect_list(F.struct(start.alias("start"), "window", "items")).alias("q2_found"))
+    return saved(rows.withColumnRenamed("digest", "q2_digest"), "benchmark-candidates")
+
+
+def with_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows with ``q2_words`` and ``q2_hit``, numbers of words, and ``q2_items``, a sorted list.
+
+    Candidates are few and written, so they are broadcast to the texts if they are
+    small; if not, texts are shuffled once, and those with many copies are split.
+    """
+    found = candidates(docs, benchmark)
+    marked = docs.withColumn("q2_key", _digest())
+    marked = marked.join(found, marked["q2_key"] == found["q2_digest"], "left").withColumn("q2_w", words())
+    end = lambda c: c["start"] + F.size(c["window"])
+    real = F.filter(
+        "q2_found", lambda c: (end(c) <= F.size("q2_w")) & (F.slice("q2_w", c["start"] + 1, F.size(c["window"])) == c["window"])
+    )
+    marked = marked.withColumns({"q2_words": F.size("q2_w").cast("long"), "q2_real": F.array_sort(real)})
+    # In order of their starts each adds what lies behind the furthest end so far.
+    hit = F.aggregate(
+        "q2_real", F.struct(F.lit(0).alias("reach"), F.lit(0).alias("hit")),
+        lambda s, c: F.struct(
+            F.greatest(s["reach"], end(c)).alias("reach"),
+            (s["hit"] + F.greatest(end(c) - F.greatest(c["start"], s["reach"]), F.lit(0))).alias("hit"),
+        ),
+        lambda s: s["hit"],
     )
-    items = (
-        found.select("digest", "window").distinct()
-        .join(windows.select("window", "item_id").distinct(), "window")
-        .groupBy("digest")
-        .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    items = F.array_sort(F.array_distinct(F.flatten(F.transform("q2_real", lambda c: c["items"]))))
+    return marked.withColumns(
+        {
+            "q2_hit": F.coalesce(hit, F.lit(0)).cast("long"),
+            "q2_items": F.coalesce(items, F.array().cast("array<string>")),
+        }
     )
-    return covered.join(items, "digest").select("digest", "n_hit", F.size("items").cast("long").alias("n_items"), "items")
 
 
 def contaminated() -> Column:
-    return (F.col("n_hit") > 0) & (HIT_SHARE * F.col("n_hit") >= F.col("n_words"))
+    return (F.col("q2_hit") > 0) & (HIT_SHARE * F.col("q2_hit") >= F.col("q2_words"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Words, hit words, items and verdict of every document."""
-    found = saved(hits(docs, benchmark), "benchmark-hits")
-    narrow = docs.select("doc_id", text_digest().alias("digest"), F.size(words()).cast("long").alias("n_words"))
-    return narrow.join(found, "digest", "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", F.coalesce("items", F.array().cast("array<string>"))), 256).alias("items_sha256"),
-        F.coalesce(contaminated(), F.lit(False)).alias("contaminated"),
+    return with_hits(docs.select("doc_id", "text"), benchmark).select(
+        "doc_id", F.col("q2_words").alias("n_words"), F.col("q2_hit").alias("n_hit"),
+        F.size("q2_items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "q2_items"), 256).alias("items_sha256"),
+        contaminated().alias("contaminated"),
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, as they came.
-
-    Texts with hits are few and written, so they are broadcast where they are small.
-    """
-    found = saved(hits(docs, benchmark), "benchmark-hits").select(
-        F.col("digest").alias("q2_digest"), F.col("n_hit").alias("q2_hit")
-    )
-    marked = docs.withColumn("q2_digest", text_digest())
-    bad = (F.col("q2_hit") > 0) & (HIT_SHARE * F.col("q2_hit") >= F.size(words()))
-    kept = marked.join(found, "q2_digest", "left").where(~F.coalesce(bad, F.lit(False)))
-    return kept.select(*docs.columns)
+    """The documents that are not contaminated, as they came."""
+    return with_hits(docs, benchmark).where(~contaminated()).select(*docs.columns)
