@@ -35,19 +35,36 @@ def whole_half_up(value: Column) -> Column:
     return F.when(value >= 0, even + tie_down).otherwise(F.round(value, 0))
 
 
-def exact_avg(column: str) -> Column:
-    """Average whose result does not depend on the order rows are added in.
+def sum_parts(column: str) -> dict[str, Column]:
+    """Aggregates from which the average of a column follows; each can be summed again.
 
-    Summing doubles gives last-digit differences between runs, which flip
-    rounded averages. Here millionths are summed as integers, high and low bits
-    apart, so that neither sum overflows at trillions of rows in one group.
-    Non-finite values count as missing.
+    Summing doubles gives last-digit differences between runs, which flip rounded
+    averages. Here millionths are summed as integers, high and low bits apart, so
+    that neither sum overflows at trillions of rows in one group. Values too large
+    for that are added as doubles. Non-finite values count as missing.
     """
-    millionths = F.rint(F.col(column) * 1e6).try_cast("bigint")
-    high = F.sum(F.shiftright(millionths, LOW_BITS)).cast("decimal(38,0)")
-    low = F.sum(millionths.bitwiseAND((1 << LOW_BITS) - 1)).cast("decimal(38,0)")
-    total = high * F.lit(1 << LOW_BITS).cast("decimal(10,0)") + low
-    return total.cast("double") / 1e6 / F.count(millionths)
+    finite = F.when(F.abs(column) < float("inf"), F.col(column))
+    millionths = F.rint(finite * 1e6).try_cast("bigint")
+    return {
+        "high": F.sum(F.shiftright(millionths, LOW_BITS)),
+        "low": F.sum(millionths.bitwiseAND((1 << LOW_BITS) - 1)),
+        "wide": F.sum(F.when(millionths.isNull(), finite)),
+        "n": F.count(finite),
+    }
+
+
+def average_of(parts: dict[str, Column]) -> Column:
+    """The average that ``sum_parts``, or sums of them, stand for."""
+    whole = F.lit(0).cast("decimal(38,0)")
+    high = F.coalesce(parts["high"].cast("decimal(38,0)"), whole)
+    low = F.coalesce(parts["low"].cast("decimal(38,0)"), whole)
+    total = (high * F.lit(1 << LOW_BITS).cast("decimal(10,0)") + low).cast("double") / 1e6
+    return F.when(parts["n"] > 0, (total + F.coalesce(parts["wide"], F.lit(0.0))) / parts["n"])
+
+
+def exact_avg(column: str) -> Column:
+    """Average whose result does not depend on the order rows are added in."""
+    return average_of(sum_parts(column))
 
 
 def keyed_jitter(keys: list[Column], amplitude: Column, seed: int = 0) -> Column:

@@ -39,21 +39,24 @@ def latest_by(
 def tail(df: DataFrame, keys: Sequence[str], time: str, n: int, bucket: str = "hour") -> DataFrame:
     """Rows that can be among the last ``n`` of their key by ``time``, and few others.
 
-    Counts rows per key and ``bucket`` of time first, which reads two columns and
-    sends one number per bucket; then reads on from the bucket in which the
-    slowest key reaches ``n``. On a table in order of time the second scan skips
-    all files and row groups before that bucket.
+    Counts rows per key and ``bucket`` of time first, which reads two columns and sends
+    one number per bucket; then reads on from the bucket in which each key reaches ``n``.
+    A key with fewer rows is read whole and holds no other key back. On a table in order
+    of time the second scan skips what lies before the earliest of these buckets.
     """
-    counts = df.groupBy(*keys, F.date_trunc(bucket, time).alias("_bucket")).agg(
-        F.count("*").alias("_rows")
-    )
+    counts = df.groupBy(*keys, F.date_trunc(bucket, time).alias("_bucket")).agg(F.count("*").alias("_rows"))
     newer_rows = F.sum("_rows").over(
         Window.partitionBy(*keys).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     )
     needed = counts.withColumn("_newer", F.coalesce(newer_rows, F.lit(0))).where(F.col("_newer") < n)
     kind = df.schema[time].dataType
-    since = needed.agg(F.min("_bucket").cast(kind)).scalar()
-    return df.where((F.col(time) >= since) | F.col(time).isNull())
+    since = needed.groupBy(*keys).agg(F.min("_bucket").cast(kind).alias("_since"))
+    since = since.toDF(*[f"_key{i}" for i in range(len(keys))], "_since")
+    same = [df[k].eqNullSafe(since[f"_key{i}"]) for i, k in enumerate(keys)]
+    late = since["_since"].isNull() | df[time].isNull() | (df[time] >= since["_since"])
+    rows = df.join(since, [*same, late], "left_semi")
+    first = since.agg(F.min("_since")).scalar()
+    return rows.where((F.col(time) >= first) | F.col(time).isNull())
 
 
 def last_n(
@@ -62,11 +65,12 @@ def last_n(
     """The ``n`` rows with the greatest ``order`` per key.
 
     Ranks within (key, salt) first and within the key second: the planner cuts
-    both ranks off before their shuffle, and a hot key ends in one task with at
-    most ``n * salts`` rows.
+    both ranks off before their shuffle. The salt is the map task's, so a task sends
+    ``n`` rows per key, and a hot key ends in one task with at most ``n * salts`` rows.
+    Which salt a row gets does not change the result.
     """
     latest_first = [F.desc(c) for c in order]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
 
     def cut(rows: DataFrame, *by: str) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy(*by).orderBy(*latest_first))

@@ -3,24 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorgrid.fixed_values import ZONE_WINDOW as ZONE_WINDOW_LENGTH
 from sensorgrid.functions import aqi as A
-from sensorgrid.functions.numeric import exact_avg
+from sensorgrid.functions.numeric import average_of, exact_avg, sum_parts
 from sensorgrid.schemas import ZONE_WINDOW
 
 ZONE_KEYS = ("window_start", "window_end", "zone_id", "zone_name")
 
-# Windows with more readings than this carry no id list in their row; their ids
-# and counts are in zone_window_sensors, as everybody else's. Not above
-# spark.sql.optimizer.windowGroupLimitThreshold (1000 unless set), up to which
-# the planner cuts a rank off before its shuffle.
-MAX_LISTED_READINGS = 1_000
+# Stations of a zone that get a counter column of their own; the ids of any others
+# are listed.
+COUNTERS_PER_ZONE = 64
 
-# Most stations that get a counter column of their own.
-MAX_COUNTED_STATIONS = 200
+# Column, name and digits of the averages.
+MEANS = (
+    ("latitude", "zone_latitude", 4),
+    ("longitude", "zone_longitude", 4),
+    ("pm1_0_atm", "avg_pm1_0", 1),
+    ("pm2_5_atm", "avg_pm2_5", 1),
+    ("pm10_atm", "avg_pm10", 1),
+    ("air_quality_percent", "avg_air_quality_percent", 1),
+)
 
 
 def _window_keys(length: str) -> list[Column]:
@@ -52,20 +58,40 @@ def zone_label(df: DataFrame, aqi: str = "avg_aqi") -> DataFrame:
 def _aggregates() -> list[Column]:
     return [
         F.count("sensor_id").alias("active_sensors"),
-        F.round(exact_avg("latitude"), 4).alias("zone_latitude"),
-        F.round(exact_avg("longitude"), 4).alias("zone_longitude"),
-        F.round(exact_avg("pm1_0_atm"), 1).alias("avg_pm1_0"),
-        F.round(exact_avg("pm2_5_atm"), 1).alias("avg_pm2_5"),
-        F.round(exact_avg("pm10_atm"), 1).alias("avg_pm10"),
+        *[F.round(exact_avg(column), digits).alias(name) for column, name, digits in MEANS],
         F.round(F.min("pm2_5_atm"), 1).alias("min_pm2_5"),
         F.round(F.max("pm2_5_atm"), 1).alias("max_pm2_5"),
         F.round(F.avg("aqi"), 0).alias("avg_aqi"),
         F.min("aqi").alias("min_aqi"),
         F.max("aqi").alias("max_aqi"),
-        F.round(exact_avg("air_quality_percent"), 1).alias("avg_air_quality_percent"),
     ]
 
 
+def _sensor_parts() -> list[Column]:
+    """What a window needs to know of one of its sensors."""
+    sums = [v.alias(f"_{c}_{k}") for c, _, _ in MEANS for k, v in sum_parts(c).items()]
+    return [
+        F.count("sensor_id").alias("readings"), *sums,
+        F.min("pm2_5_atm").alias("_min_pm"), F.max("pm2_5_atm").alias("_max_pm"),
+        F.sum("aqi").alias("_aqi"), F.count("aqi").alias("_aqi_n"),
+        F.min("aqi").alias("_min_aqi"), F.max("aqi").alias("_max_aqi"),
+    ]
+
+
+def _merged_parts() -> list[Column]:
+    """``_aggregates`` from the parts of all sensors."""
+    means = [
+        F.round(average_of({k: F.sum(f"_{c}_{k}") for k in sum_parts(c)}), digits).alias(name)
+        for c, name, digits in MEANS
+    ]
+    return [
+        F.sum("readings").alias("active_sensors"), *means,
+        F.round(F.min("_min_pm"), 1).alias("min_pm2_5"), F.round(F.max("_max_pm"), 1).alias("max_pm2_5"),
+        F.round(F.sum("_aqi") / F.nullif(F.sum("_aqi_n"), F.lit(0)), 0).alias("avg_aqi"),
+        F.min("_min_aqi").alias("min_aqi"), F.max("_max_aqi").alias("max_aqi"),
+    ]
+
+
 MEASURES = [n for n in ZONE_WINDOW.fieldNames() if n not in (*ZONE_KEYS, "sensor_ids")]
 
 
@@ -79,32 +105,50 @@ def zone_measures(readings: DataFrame, length: str = ZONE_WINDOW_LENGTH) -> Data
     return _unnest(zone_label(grouped), *MEASURES)
 
 
-def station_id_list(
-    readings: DataFrame,
-    length: str,
-    stations: Sequence[str],
-    max_listed: int = MAX_LISTED_READINGS,
-) -> DataFrame:
-    """Zone windows with ``sensor_ids`` where all station ids are known beforehand.
+def _expanded(entries: Column) -> Column:
+    """Every id as often as it was counted."""
+    return F.flatten(F.transform(entries, lambda e: F.array_repeat(e["sensor_id"], e["readings"].cast("int"))))
+
 
-    One counter per station replaces the growing list, so a single aggregation
-    of flat state does, batch or streaming. A window with other sensors or over
-    ``max_listed`` readings has a NULL list.
+def known_station_windows(
+    readings: DataFrame, length: str, stations: Sequence[dict[str, Any]], only_known: bool = False
+) -> DataFrame:
+    """Zone windows with ``sensor_ids`` in one aggregation, where the stations are known.
+
+    A zone's stations share counters by their place in the zone, so there are as many
+    as the largest zone has stations. Readings of other sensors, and of stations
+    beyond ``COUNTERS_PER_ZONE``, are listed one by one beside the counters.
+    ``only_known`` promises that there are no others, as behind a fan-out over the same
+    stations: state is then counters only, and a reading that breaks the promise is an
+    error.
     """
-    if len(stations) > MAX_COUNTED_STATIONS:
-        raise ValueError(f"at most {MAX_COUNTED_STATIONS} stations can be counted one by one")
-    ids = sorted(stations)
-    counters = [
-        F.count_if(F.col("sensor_id") == sid).alias(f"_n{i}") for i, sid in enumerate(ids)
-    ]
-    grouped = readings.groupBy(*_window_keys(length)).agg(*_aggregates(), *counters)
-    counted = sum((F.col(f"_n{i}") for i in range(len(ids))), F.lit(0))
-    repeated = [
-        F.array_repeat(F.lit(sid), F.col(f"_n{i}").cast("int")) for i, sid in enumerate(ids)
-    ]
-    complete = (F.col("active_sensors") <= max_listed) & (counted == F.col("active_sensors"))
-    listed = zone_label(grouped).withColumn("sensor_ids", F.when(complete, F.concat(*repeated)))
-    return _unnest(listed, *MEASURES, "sensor_ids")
+    zones: dict[str, list[str]] = {}
+    for s in sorted({(s["zone_id"], s["sensor_id"]) for s in stations}):
+        zones.setdefault(s[0], []).append(s[1])
+    counted = {z: ids[:COUNTERS_PER_ZONE] for z, ids in zones.items()}
+    width = max((len(ids) for ids in counted.values()), default=0)
+    listing = not only_known or any(len(ids) > COUNTERS_PER_ZONE for ids in zones.values())
+    none = F.array().cast("array<string>")
+    names = F.coalesce(
+        *[F.when(F.col("zone_id") == z, F.array(*map(F.lit, ids))) for z, ids in counted.items()], none
+    )
+    place = F.coalesce(
+        *[F.when(F.col("zone_id") == z, F.array_position(F.array(*map(F.lit, ids)), F.col("sensor_id")))
+          for z, ids in counted.items()], F.lit(0)
+    )
+    placed = readings.withColumn("_place", place)
+    counters = [F.count_if(F.col("_place") == i + 1).alias(f"_n{i}") for i in range(width)]
+    others = F.collect_list(F.when(F.col("_place") == 0, F.col("sensor_id"))).alias("_others")
+    grouped = placed.groupBy(*_window_keys(length)).agg(*_aggregates(), *counters, *([others] if listing else []))
+    counts = F.array(*[F.col(f"_n{i}") for i in range(width)]) if width else F.array().cast("array<bigint>")
+    pairs = F.zip_with(names, F.slice(counts, 1, F.size(names)), lambda n, c: F.array_repeat(n, c.cast("int")))
+    ids = F.flatten(pairs)
+    if listing:
+        ids = F.array_sort(F.concat(ids, "_others"))
+    else:
+        unknown = F.raise_error(F.lit("a reading of a sensor that is no known station"))
+        ids = F.when(F.size(ids) == F.col("active_sensors"), ids).otherwise(unknown.cast("array<string>"))
+    return _unnest(zone_label(grouped).withColumn("sensor_ids", ids), *MEASURES, "sensor_ids")
 
 
 def zone_window_sensors(readings: DataFrame, length: str = ZONE_WINDOW_LENGTH) -> DataFrame:
@@ -117,53 +161,47 @@ def zone_window_sensors(readings: DataFrame, length: str = ZONE_WINDOW_LENGTH) -
     return _unnest(grouped, "sensor_id", "readings")
 
 
-def attach_sensor_ids(
-    zones: DataFrame, sensors: DataFrame, max_listed: int = MAX_LISTED_READINGS
-) -> DataFrame:
-    """Zone windows with ``sensor_ids``: one id per reading, sorted.
+def attach_sensor_ids(zones: DataFrame, sensors: DataFrame) -> DataFrame:
+    """Zone windows with ``sensor_ids``, one id per reading, sorted, from ``zone_window_sensors``.
 
-    A list is only built where it has at most ``max_listed`` entries. At most
-    that many sensors per window leave each map task (the rank is cut off before
-    the shuffle), so a hot window never gathers in one task; its list is NULL and
-    ``sensors`` has it whole.
+    What is gathered per window are its sensors with their counts.
     """
-    rank = F.row_number().over(Window.partitionBy(*ZONE_KEYS).orderBy("sensor_id"))
-    kept = sensors.withColumn("_rank", rank).where(F.col("_rank") <= max_listed)
-    # A window over the limit is not expanded here either: counts are cut off.
-    entry = F.struct("sensor_id", F.least("readings", F.lit(max_listed + 1)).alias("readings"))
-    lists = kept.groupBy(*ZONE_KEYS).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
-
+    entry = F.struct("sensor_id", "readings")
+    lists = sensors.groupBy(*ZONE_KEYS).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
     z, s = zones.alias("z"), lists.alias("s")
     same = [F.col("z.window_start") == F.col("s.window_start")]
     same += [F.col(f"z.{k}").eqNullSafe(F.col(f"s.{k}")) for k in ("zone_id", "zone_name")]
-    ids = F.flatten(
-        F.transform("_entries", lambda e: F.array_repeat(e["sensor_id"], e["readings"].cast("int")))
-    )
-    listed = F.when(
-        F.col("active_sensors") <= max_listed,
-        F.coalesce(ids, F.array().cast("array<string>")),
-    )
+    listed = F.coalesce(_expanded(F.col("_entries")), F.array().cast("array<string>"))
     return z.join(s, same, "left").select("z.*", listed.alias("sensor_ids"))
 
 
 def zone_window_agg(
     readings: DataFrame,
     length: str = ZONE_WINDOW_LENGTH,
-    max_listed: int = MAX_LISTED_READINGS,
-    stations: Sequence[str] | None = None,
+    stations: Sequence[dict[str, Any]] | None = None,
+    only_known: bool = False,
 ) -> DataFrame:
     """Zone windows, 20 columns. ``active_sensors`` counts readings, as the id list does.
 
-    With ``stations`` (all ids of a bounded registry) one pass and one shuffle
-    do, and streams can run it. Without, batch only: the ids come from a second
-    pass over four columns.
+    One scan: readings are reduced to one row per window and sensor before the first
+    shuffle, those to one row per window before the second. With ``stations`` (see
+    ``known_station_windows``) one shuffle does, and streams can run it.
     """
     if stations is not None:
-        zones = station_id_list(readings, length, stations, max_listed)
-    else:
-        sensors = zone_window_sensors(readings, length)
-        zones = attach_sensor_ids(zone_measures(readings, length), sensors, max_listed)
-    return zones.select(*ZONE_WINDOW.fieldNames())
+        return known_station_windows(readings, length, stations, only_known).select(*ZONE_WINDOW.fieldNames())
+    parts = readings.groupBy(*_window_keys(length), "sensor_id").agg(*_sensor_parts())
+    # collect_list leaves out nulls: readings without a sensor count, but are not listed.
+    entry = F.when(F.col("sensor_id").isNotNull(), F.struct("sensor_id", "readings"))
+    zones = parts.groupBy("window", "zone_id", "zone_name").agg(
+        *_merged_parts(), F.sort_array(F.collect_list(entry)).alias("_entries")
+    )
+    listed = zone_label(zones).withColumn("sensor_ids", _expanded(F.col("_entries")))
+    return _unnest(listed, *MEASURES, "sensor_ids").select(*ZONE_WINDOW.fieldNames())
+
+
+def with_distinct_sensors(zones: DataFrame) -> DataFrame:
+    """Adds ``distinct_sensors`` beside ``active_sensors``, which counts readings."""
+    return zones.withColumn("distinct_sensors", F.size(F.array_distinct("sensor_ids")).cast("bigint"))
 
 
 def array_to_csv(df: DataFrame, src: str = "sensor_ids", dst: str = "sensor_ids_str") -> DataFrame:

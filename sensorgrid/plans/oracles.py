@@ -218,8 +218,8 @@ def windows_sql(unit: str) -> str:
             {rounded("CAST(sum(aqi) AS DOUBLE) / count(aqi)", 0)} AS avg_aqi,
             min(aqi) AS min_aqi, max(aqi) AS max_aqi,
             {rounded(average("air_quality_percent"), 1)} AS avg_air_quality_percent,
-            CASE WHEN count(sensor_id) <= 1000 THEN string_agg(sensor_id, ',' ORDER BY sensor_id) END
-                AS sensor_ids_str
+            coalesce(string_agg(sensor_id, ',' ORDER BY sensor_id), '') AS sensor_ids_str,
+            count(DISTINCT sensor_id) AS distinct_sensors
         FROM readings GROUP BY ALL),
     zones AS (
         SELECT *, {category_sql("avg_aqi")} AS zone_aqi_category, {color_sql("avg_aqi")} AS zone_aqi_color,
@@ -278,7 +278,7 @@ MESSAGES = f"""{RAW},
 
 oracle(
     "kafka_source", MESSAGES,
-    'SELECT CAST(length(value) AS INTEGER) AS value_length, topic, "partition", "offset", "timestamp" FROM messages',
+    'SELECT md5(value) AS value_md5, topic, "partition", "offset", "timestamp" FROM messages',
 )
 oracle("feed_inspect", MESSAGES, 'SELECT md5(value) AS value_md5, "partition", "offset" FROM messages')
 oracle(
@@ -297,13 +297,21 @@ oracle(
         CAST(gr03um AS VARCHAR) AS gr03um FROM faulty""",
 )
 oracle(
-    "csv_scan csv_sorted", "t AS (SELECT * FROM events)",
+    "csv_scan", "t AS (SELECT * FROM events)",
     "SELECT event_id, ts AS datetime, user_id, event_type, value, props FROM t",
 )
-oracle("feed_ingest", FEED, f"SELECT {FEED_COLUMNS} FROM feed")
+oracle(
+    "csv_sorted", "t AS (SELECT * FROM events)",
+    """SELECT event_id, ts AS datetime, user_id, event_type, value, props,
+        row_number() OVER (ORDER BY ts, event_id) - 1 AS position FROM t""",
+)
+oracle(
+    "feed_ingest", FEED,
+    f"SELECT {FEED_COLUMNS} FROM feed WHERE right(sensor_id, 1) NOT IN ('0', '1', '2')",
+)
 oracle(
     "key_present_filter", FEED,
-    "SELECT sensor_id, zone_id, datetime, received_at FROM feed WHERE right(sensor_id, 1) NOT IN ('0', '1')",
+    "SELECT sensor_id, zone_id, datetime, received_at FROM feed WHERE right(sensor_id, 1) NOT IN ('0', '1', '2')",
 )
 
 # --- projections, filters, checks ------------------------------------------
@@ -410,6 +418,16 @@ oracle(
     "zone_window_agg_minutes stream_zone_of_stations", f"{STATIONS}, {windows_sql('minute')}",
     f"SELECT {ZONE_COLUMNS} FROM zones",
 )
+oracle(
+    "zone_window_agg_days", f"{STATIONS}, {windows_sql('day')}",
+    f"SELECT {ZONE_COLUMNS}, distinct_sensors FROM zones",
+)
+oracle(
+    "station_fanout_network", NETWORK,
+    f"""SELECT day, value, sensor_id, zone_id, sensor_variation, pm_factor
+        FROM (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {rounded(average("value"), 4)} AS value
+            FROM events GROUP BY 1) AS days, registry""",
+)
 oracle(
     "zone_window_sensors", READINGS,
     """SELECT date_trunc('hour', datetime) AS window_start,
@@ -431,7 +449,11 @@ DAILY = f"""{ZONES},
             {rounded(average("avg_pm2_5"), 1)} AS daily_avg_pm25, {rounded(average("avg_aqi"), 0)} AS daily_avg_aqi,
             min(min_aqi) AS daily_min_aqi, max(max_aqi) AS daily_max_aqi
         FROM zones GROUP BY ALL)"""
-oracle("daily_zone_stats", DAILY, "SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM daily")
+oracle(
+    "daily_zone_stats", DAILY,
+    """SELECT * REPLACE (CAST(date AS VARCHAR) AS date),
+        rank() OVER (ORDER BY date DESC, zone_id) - 1 AS position FROM daily""",
+)
 SENSOR_VIEW = """sensor_id, zone_id, zone_name, latitude, longitude, datetime, pm1_0_atm, pm2_5_atm,
     pm10_atm, aqi, aqi_category, aqi_color, air_quality_percent, sport_ok"""
 ZONE_VIEW = """zone_id, zone_name, window_start, window_end, active_sensors, zone_latitude, zone_longitude,
@@ -451,7 +473,11 @@ oracle(
 
 oracle("latest_sensor_readings", READINGS, f"SELECT {SENSOR_VIEW} FROM readings {LAST_SENSOR}")
 oracle("latest_zone_averages", ZONES, f"SELECT {ZONE_VIEW} FROM zones {LAST_ZONE}")
-oracle("latest_by_arrival latest_measurements", LATEST, f"SELECT {FEED_COLUMNS} FROM latest")
+oracle("latest_by_arrival", LATEST, f"SELECT {FEED_COLUMNS} FROM latest")
+oracle(
+    "latest_measurements", LATEST,
+    f"SELECT {FEED_COLUMNS}, rank() OVER (ORDER BY datetime DESC) - 1 AS position FROM latest",
+)
 HISTORY_COLUMNS = 'zone_id, sensor_id, datetime, aqi, "offset"'
 oracle("history_last_n stream_history", history_sql(500), f"SELECT {HISTORY_COLUMNS} FROM history")
 oracle("history_last_100", history_sql(100), f"SELECT {HISTORY_COLUMNS} FROM history")
@@ -472,7 +498,8 @@ oracle(
 )
 oracle(
     "zone_history", history_sql(500),
-    f"SELECT {FEED_COLUMNS} FROM history WHERE zone_id = 'view' AND datetime >= {SINCE}",
+    f"""SELECT {FEED_COLUMNS}, rank() OVER (ORDER BY datetime DESC) - 1 AS position
+        FROM history WHERE zone_id = 'view' AND datetime >= {SINCE}""",
 )
 oracle(
     "measurements_list", history_sql(100),
@@ -510,8 +537,8 @@ oracle("kafka_readings_payload stream_stateless", READINGS, f"SELECT {READING_CO
 
 oracle(
     "dual_sink_roundtrip", STATIONS,
-    """SELECT 'table' AS sink, sensor_id, datetime, pm2_5_atm, aqi, period FROM readings
-        UNION ALL SELECT 'readings', sensor_id, datetime, pm2_5_atm, aqi, period FROM readings""",
+    f"""SELECT 'table' AS sink, {READING_COLUMNS} FROM readings
+        UNION ALL SELECT 'readings', {READING_COLUMNS} FROM readings""",
 )
 oracle(
     "stream_zone_append", ZONES,

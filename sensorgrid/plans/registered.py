@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sensorgrid.functions import aqi as A
 from sensorgrid.functions.calendar import iso_timestamp, time_enrichment
-from sensorgrid.functions.numeric import keyed_jitter
+from sensorgrid.functions.numeric import exact_avg, keyed_jitter
 from sensorgrid.operators import enrich as E, latest as L, quality as Q, registry as R, zones as Z
 from sensorgrid.operators.fanout import station_fanout
 from sensorgrid.operators.ordering import sort_by_time, with_row_index
@@ -82,6 +82,11 @@ def _stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.time_flags(station_fanout(_raw(spark, sf_dir), R.station_rows()))
 
 
+def _ranked(ordered: DataFrame, *by: str) -> DataFrame:
+    """Adds ``position``: where in the actual order the first row of equal keys stands."""
+    return with_row_index(ordered).withColumn("position", F.min("row_index").over(Window.partitionBy(*by))).drop("row_index")
+
+
 def _texts(*columns: str) -> list[Column]:
     """Integers that may be NULL, as text: engines differ in how they hand those out."""
     return [F.col(c).cast("string").alias(c) for c in columns]
@@ -94,7 +99,7 @@ def _texts(*columns: str) -> list[Column]:
 def kafka_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _topic(B.raw_feed(B.events(spark, sf_dir)))
     return _zoneless(feed, "timestamp").select(
-        F.length("value").alias("value_length"), "topic", "partition", "offset", "timestamp"
+        F.md5("value").alias("value_md5"), "topic", "partition", "offset", "timestamp"
     )
 
 
@@ -126,21 +131,26 @@ def csv_scan_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_scan(spark, path, CSV_COLUMNS)
 
 
+def _faulty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings topic, ingested. Zones whose sensor number ends in 0 or 1 send no name
+    or an empty one; messages of those that end in 2 are cut off."""
+    last = F.substring("sensor_id", -1, 1)
+    zone = F.when(last == "0", None).when(last == "1", "").otherwise(F.col("zone_id"))
+    rows = _readings(spark, sf_dir).withColumn("zone_id", zone)
+    messages = to_payload(rows.withColumn("cut", last == "2"), keep=(*L.ARRIVAL, "cut"))
+    value = F.when(F.col("cut"), F.substring("value", 1, 20)).otherwise(F.col("value"))
+    feed = _topic(messages.withColumn("value", value))
+    return M.feed_ingest(feed, F.lit(AS_OF.isoformat()).cast("timestamp_ntz"))
+
+
 @query
 def feed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _zoneless(_feed(spark, sf_dir), "timestamp")
+    return _zoneless(_faulty_feed(spark, sf_dir), "timestamp")
 
 
 @query
 def key_present_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Zones whose sensor number ends in 0 or 1 send no name or an empty one.
-    last = F.substring("sensor_id", -1, 1)
-    zone = F.when(last == "0", None).when(last == "1", "").otherwise(F.col("zone_id"))
-    rows = _readings(spark, sf_dir).withColumn("zone_id", zone)
-    feed = _topic(to_payload(rows, keep=L.ARRIVAL))
-    return M.feed_ingest(feed, F.lit(AS_OF.isoformat()).cast("timestamp_ntz")).select(
-        "sensor_id", "zone_id", "datetime", "received_at"
-    )
+    return _faulty_feed(spark, sf_dir).select("sensor_id", "zone_id", "datetime", "received_at")
 
 
 @query
@@ -237,6 +247,16 @@ def station_fanout_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("datetime", "pm25_raw", *STATION.fieldNames())
 
 
+@query
+def station_fanout_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days' averages of all events at every station of the suppliers' networks."""
+    days = B.events(spark, sf_dir).groupBy(F.to_date("ts").cast("string").alias("day")).agg(
+        F.round(exact_avg("value"), 4).alias("value")
+    )
+    rows = station_fanout(days, R.registry_flatten(B.networks(spark, sf_dir)))
+    return rows.select("day", "value", "sensor_id", "zone_id", "sensor_variation", "pm_factor")
+
+
 @query
 def rush_hour_and_night(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = E.time_flags(_raw(spark, sf_dir))
@@ -351,8 +371,14 @@ def zone_window_agg_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way from raw messages to one-minute zone windows."""
     stations = R.station_rows()
     rows = E.enrich(_raw(spark, sf_dir), stations)
-    ids = [s["sensor_id"] for s in stations]
-    return Z.array_to_csv(Z.zone_window_agg(rows, stations=ids))
+    return Z.array_to_csv(Z.zone_window_agg(rows, stations=stations, only_known=True))
+
+
+@query
+def zone_window_agg_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a day over all stations: over a thousand readings each, all of them listed."""
+    rows = E.enrich(_raw(spark, sf_dir), R.station_rows())
+    return Z.array_to_csv(Z.with_distinct_sensors(Z.zone_window_agg(rows, "1 day")))
 
 
 @query
@@ -374,7 +400,7 @@ def zone_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def daily_zone_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = Z.daily_zone_stats(_measures(spark, sf_dir))
+    stats = _ranked(Z.daily_zone_stats(_measures(spark, sf_dir)), "date", "zone_id")
     return stats.withColumn("date", F.col("date").cast("string"))
 
 
@@ -445,7 +471,8 @@ def map_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def zone_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _zoneless(S.zone_history(_feed(spark, sf_dir), AS_OF, ZONE, HOURS), "timestamp")
+    rows = _ranked(S.zone_history(_feed(spark, sf_dir), AS_OF, ZONE, HOURS), "datetime")
+    return _zoneless(rows, "timestamp")
 
 
 @query
@@ -461,7 +488,7 @@ def measurements_list_of_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _zoneless(S.latest_measurements(_feed(spark, sf_dir)), "timestamp")
+    return _zoneless(_ranked(S.latest_measurements(_feed(spark, sf_dir)), "datetime"), "timestamp")
 
 
 @query
@@ -497,10 +524,13 @@ def sort_csv_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def csv_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sorted CSV, written and read back; file name and position give the order."""
+    """Sorted CSV, written and read back; ``position`` is the row's in the files in name order."""
     path = new_path(spark, "sorted-csv")
     write_csv(sort_by_time(_csv_table(spark, sf_dir), tiebreak=["event_id"]), path)
-    return csv_scan(spark, path, CSV_COLUMNS)
+    stored = csv_scan(spark, path, CSV_COLUMNS).withColumns(
+        {"_file": F.input_file_name(), "_line": F.monotonically_increasing_id()}
+    )
+    return with_row_index(stored.orderBy("_file", "_line"), "position").drop("_file", "_line")
 
 
 @query
@@ -549,7 +579,7 @@ def dual_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     cores = spark.sparkContext.defaultParallelism
     _run(J.readings_stream(feed, R.station_rows(), spread=cores), sink, "append")
-    names = ("sensor_id", "datetime", "pm2_5_atm", "aqi", "period")
+    names = READING.fieldNames()
     stored = spark.read.parquet(table).select(F.lit("table").alias("sink"), *names)
     data = F.from_json("value", READING).alias("data")
     sent = spark.read.parquet(topic).select(F.col("topic").alias("sink"), data)
@@ -582,7 +612,7 @@ def stream_zone_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed windows only: those the watermark has passed."""
     path = new_path(spark, "closed-zones")
     _run(J.zone_stream(_stream(spark, sf_dir), LENGTH), table_sink(path), "append")
-    return spark.read.parquet(path).drop("batch_id")
+    return J.read_versions(spark, path).drop("run", "batch_id")
 
 
 @query
@@ -592,7 +622,7 @@ def stream_zone_of_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     stations = R.station_rows()
     feed = B.raw_feed(B.event_stream(spark, sf_dir))
     rows = J.readings_stream(feed, stations, spread=spark.sparkContext.defaultParallelism)
-    zones = J.zone_stream(rows, stations=[s["sensor_id"] for s in stations])
+    zones = J.zone_stream(rows, stations=stations, only_known=True)
     _run(zones, multi_sink(table_sink(path, shape=Z.array_to_csv)), "update")
     return current_zone_windows(J.read_versions(spark, path))
 

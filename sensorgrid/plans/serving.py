@@ -43,7 +43,8 @@ def recent(df: DataFrame, as_of: datetime | Column, hours: int | None = DEFAULT_
 
 
 def in_zone(df: DataFrame, zone_id: str | None) -> DataFrame:
-    return df if zone_id is None else df.where(F.col("zone_id") == zone_id)
+    """Rows of a zone; none named, or an empty name, is no filter."""
+    return df.where(F.col("zone_id") == zone_id) if zone_id else df
 
 
 def union_feeds(*feeds: DataFrame) -> DataFrame:

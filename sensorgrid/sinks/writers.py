@@ -4,19 +4,61 @@ A batch that is retried must not leave its rows twice. File sinks replace the
 batch's own folder; the JDBC sink can skip rows that are already there; a topic
 is written at least once, as brokers offer no more to a batch writer. Errors are
 raised, so Spark retries the batch instead of losing it.
+
+Batch numbers start again with a new checkpoint, so a batch is known by its run as
+well: one run per checkpoint, in order of their beginnings. ``batch_id`` may be a plain
+number where there is no stream.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensorgrid.operators.quality import dq_split
 from sensorgrid.sinks.payload import to_payload
 from sensorgrid.sources.csv_files import OPTIONS as CSV_OPTIONS
+from sensorgrid.streaming.changelog import keep_last, read_versions
+
+# A sink may return the rows it has stored, for others to read instead of computing them again.
+Sink = Callable[[DataFrame, int], DataFrame | None]
+
+NO_RUN = "0-direct"
+
+
+class BatchId(int):
+    """The number of a batch, and the run it belongs to."""
+
+    run = NO_RUN
 
-Sink = Callable[[DataFrame, int], None]
+    def __new__(cls, number: int, run: str = NO_RUN) -> BatchId:
+        self = super().__new__(cls, number)
+        self.run = run
+        return self
+
+    @property
+    def folder(self) -> str:
+        return f"run={self.run}/batch_id={int(self)}"
+
+    @classmethod
+    def of(cls, number: int) -> BatchId:
+        return number if isinstance(number, cls) else cls(number)
+
+
+def _replace(rows: DataFrame, folder: str, day: str | None = None) -> None:
+    """Writes a folder anew. With ``day`` the rows are first dealt out by day, in parts
+    of a size that adaptive execution chooses, so files follow size and not tasks."""
+    spark = rows.sparkSession
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")  # streams run without it
+    try:
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(day) if day else writer).parquet(folder)
+    finally:
+        spark.conf.set(key, before)
 
 
 def table_sink(
@@ -24,28 +66,48 @@ def table_sink(
     shape: Callable[[DataFrame], DataFrame] | None = None,
     event_date: str | None = None,
     sort_by: Sequence[str] = (),
+    created_at: str | None = None,
 ) -> Sink:
-    """Parquet table with one folder per batch.
+    """Parquet table with one folder per run and batch; returns the rows as stored.
 
-    ``event_date`` names the timestamp whose day becomes a partition column, so
-    that period queries read only their days; ``sort_by`` orders each file for
-    min/max skipping.
+    ``event_date`` names the timestamp whose day becomes a partition column, so that
+    period queries read only their days; ``sort_by`` orders each file for min/max
+    skipping; ``created_at`` names a column for the time of writing.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> DataFrame | None:
         rows = shape(batch) if shape else batch
-        if event_date:
-            rows = rows.withColumn("event_date", F.to_date(event_date))
+        if created_at:
+            rows = rows.withColumn(created_at, F.current_timestamp())
+        day = "event_date" if event_date else None
+        if day:
+            rows = rows.withColumn(day, F.to_date(event_date)).hint("rebalance", day)
         if sort_by:
-            rows = rows.sortWithinPartitions(*(["event_date"] if event_date else []), *sort_by)
-        writer = rows.write.mode("overwrite")
-        if event_date:
-            writer = writer.partitionBy("event_date")
-        writer.parquet(f"{path}/batch_id={batch_id}")
-
+            rows = rows.sortWithinPartitions(*([day] if day else []), *sort_by)
+        folder = f"{path}/{BatchId.of(batch_id).folder}"
+        _replace(rows, folder, day)
+        if shape:
+            return None
+        return batch.sparkSession.read.schema(batch.schema).parquet(folder)
+
+    write.stores = not shape
     return write
 
 
+def compact(
+    spark: SparkSession, path: str, target: str, keys: Sequence[str] = (), event_date: str | None = None
+) -> None:
+    """Rewrites a table's batches as one, in files that follow size; ``keys`` reduce a changelog.
+
+    The source stays as it is: readers change over to ``target`` when it is whole.
+    """
+    rows = read_versions(spark, path)
+    if keys:
+        rows = keep_last(rows, keys)
+    rows = rows.drop("run", "batch_id", "event_date")
+    table_sink(target, event_date=event_date)(rows if event_date else rows.hint("rebalance"), 0)
+
+
 def topic_sink(
     topic: str,
     options: dict[str, str] | None = None,
@@ -60,7 +122,7 @@ def topic_sink(
         if fmt == "kafka":
             messages.write.format("kafka").options(**(options or {})).save()
         else:
-            folder = f"{path}/batch_id={batch_id}"
+            folder = f"{path}/{BatchId.of(batch_id).folder}"
             messages.write.format(fmt).mode("overwrite").options(**(options or {})).save(folder)
 
     return write
@@ -77,14 +139,14 @@ def jdbc_sink(
 ) -> Sink:
     """Appends to a database table over at most ``connections`` connections.
 
-    With ``batch_column`` (a bigint column of the table, best indexed) the batch's
-    number is written as well, and rows that a failed attempt of the same batch
+    With ``batch_column`` (a text column of the table, best indexed) the batch's run
+    and number are written as well, and rows that a failed attempt of the same batch
     has already committed are left out, counted one by one. Without it a retried
     batch may leave rows twice.
     """
 
-    def missing(rows: DataFrame, batch_id: int) -> DataFrame:
-        attempt = f"(SELECT * FROM {table} WHERE {batch_column} = {batch_id}) attempt"
+    def missing(rows: DataFrame, label: str) -> DataFrame:
+        attempt = f"(SELECT * FROM {table} WHERE {batch_column} = '{label}') attempt"
         done = rows.sparkSession.read.jdbc(url, attempt, properties=properties)
         if done.isEmpty():
             return rows
@@ -94,9 +156,10 @@ def jdbc_sink(
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = shape(batch) if shape else batch
         if batch_column:
-            number = F.lit(batch_id).cast("bigint")
-            rows = missing(rows, batch_id).withColumn(batch_column, number)
-        rows.coalesce(connections).write.option("batchsize", batch_size).jdbc(
+            label = f"{BatchId.of(batch_id).run}/{int(batch_id)}"
+            rows = missing(rows, label).withColumn(batch_column, F.lit(label))
+        # A shuffle, so that only the writing is done over few connections.
+        rows.repartition(connections).write.option("batchsize", batch_size).jdbc(
             url, table, mode="append", properties=properties
         )
 
@@ -104,31 +167,46 @@ def jdbc_sink(
 
 
 def multi_sink(*sinks: Sink) -> Sink:
-    """One micro-batch to several sinks: computed once, skipped when empty."""
+    """One micro-batch to several sinks: computed once, skipped when empty.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+    If the first sink stores the rows themselves, the others read what it wrote, and
+    nothing is kept in memory; otherwise the batch is persisted while it is written.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> DataFrame | None:
+        stores = len(sinks) > 1 and getattr(sinks[0], "stores", False)
+        rows = batch if stores or len(sinks) == 1 else batch.persist()
+        stored = None
         try:
-            if not batch.isEmpty():
+            if not rows.isEmpty():
                 for sink in sinks:
-                    sink(batch, batch_id)
+                    out = sink(rows, batch_id)
+                    if stores and sink is sinks[0]:
+                        rows = stored = out
         finally:
-            batch.unpersist()
+            if not stores and len(sinks) > 1:
+                batch.unpersist()
+        return stored
 
+    write.stores = bool(sinks) and getattr(sinks[0], "stores", False)
     return write
 
 
 def split_sink(contract: str, valid: Sink, quarantine: Sink) -> Sink:
     """Rows that meet a table contract to one sink, the others with reasons to another.
 
-    Within ``multi_sink`` both parts are cut from the batch computed once.
+    If both store what they get, the whole batch can be read from them.
     """
+    both = getattr(valid, "stores", False) and getattr(quarantine, "stores", False)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> DataFrame | None:
         good, bad = dq_split(batch, contract)
-        valid(good, batch_id)
-        quarantine(bad, batch_id)
+        kept, refused = valid(good, batch_id), quarantine(bad, batch_id)
+        parts = [kept, refused and refused.drop("reasons")]
+        parts = [p.select(*batch.columns) for p in parts if p is not None]
+        return reduce(DataFrame.unionByName, parts) if both and parts else None
 
+    write.stores = both
     return write
 
 

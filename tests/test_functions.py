@@ -114,6 +114,12 @@ def test_truncated_int(spark):
     assert got == [1, -1, 2147483647, -2147483648, None]
 
 
+def test_exact_avg_over_the_whole_range(spark):
+    rows = spark.createDataFrame([(1e13,), (2.0,), (float("nan"),), (float("inf"),), (None,)], "v double")
+    assert rows.agg(exact_avg("v")).first()[0] == (1e13 + 2) / 2
+    assert spark.createDataFrame([(-1e300,)], "v double").agg(exact_avg("v")).first()[0] == -1e300
+
+
 def test_exact_avg_of_any_order_and_missing(spark):
     values = [0.1] * 10 + [0.2, 0.7, -3.3, None, float("nan")]
     rows = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)

@@ -47,7 +47,7 @@ def test_network_shapes_agree(spark):
 def test_fanout_of_a_large_registry_equals_the_inline_one(spark, sf_dir, raw):
     registry = R.registry_flatten(B.networks(spark, sf_dir))
     inline = station_fanout(raw, registry)
-    blocks = station_fanout(raw, registry, max_inline=7, salts=3)
+    blocks = station_fanout(raw, registry, max_bytes=0, block=3)
     assert inline.count() == raw.count() * registry.count()
     assert same(inline, blocks)
     plan = blocks._jdf.queryExecution().executedPlan().toString()
@@ -56,7 +56,8 @@ def test_fanout_of_a_large_registry_equals_the_inline_one(spark, sf_dir, raw):
 
 def test_fanout_needs_stations(spark, raw):
     with pytest.raises(ValueError):
-        station_fanout(raw, spark.createDataFrame([], STATION))
+        station_fanout(raw, [])
+    assert station_fanout(raw, spark.createDataFrame([], STATION)).isEmpty()
 
 
 def test_enrich_shape_and_bounds(spark, raw):
@@ -105,17 +106,25 @@ def hot(spark):
     )
 
 
-def test_hot_window_keeps_its_sensors_whole(spark):
+def test_hot_window_lists_every_reading(spark):
     rows = hot(spark)
-    zones = {r.zone_id: r for r in Z.zone_window_agg(rows).collect()}
-    assert zones["a"].active_sensors == rows.where("zone_id = 'a' AND sensor_id IS NOT NULL").count()
-    assert zones["a"].sensor_ids is None  # over the limit
-    assert zones["b"].sensor_ids == ["hot"] * 500  # duplicates kept
-    members = Z.zone_window_sensors(rows).collect()
     want = Counter((r.zone_id, r.sensor_id) for r in rows.where("sensor_id IS NOT NULL").collect())
+    known = [{"zone_id": z, "sensor_id": s} for z, s in want]
+    few = [{"zone_id": "a", "sensor_id": "hot"}, {"zone_id": "a", "sensor_id": "never seen"}]
+    for zones in (Z.zone_window_agg(rows), Z.zone_window_agg(rows, stations=known), Z.zone_window_agg(rows, stations=few)):
+        zones = {r.zone_id: r for r in zones.collect()}
+        for zone, r in zones.items():
+            assert Counter(r.sensor_ids) == Counter({s: n for (z, s), n in want.items() if z == zone})
+            assert r.sensor_ids == sorted(r.sensor_ids) and len(r.sensor_ids) == r.active_sensors
+        assert zones["a"].active_sensors > 1000 and zones["b"].sensor_ids == ["hot"] * 500
+    members = Z.zone_window_sensors(rows).collect()
     assert {(r.zone_id, r.sensor_id): r.readings for r in members} == want
-    whole = {r.zone_id: r for r in Z.zone_window_agg(rows, max_listed=10_000).collect()}
-    assert Counter(whole["a"].sensor_ids) == Counter({s: n for (z, s), n in want.items() if z == "a"})
+
+
+def test_windows_of_the_registered_query_are_above_a_thousand(spark, sf_dir):
+    from sensorgrid.plans.registered import QUERIES
+
+    assert QUERIES["zone_window_agg_days"](spark, "/root/testdata/sf0.01").where("active_sensors > 1000").count() > 5
 
 
 def test_missing_names_group_and_missing_times_drop(spark):
@@ -127,14 +136,22 @@ def test_missing_names_group_and_missing_times_drop(spark):
 def test_station_counters_equal_the_list(raw):
     stations = R.station_rows()
     rows = E.enrich(raw, stations)
-    ids = [s["sensor_id"] for s in stations]
-    counted = Z.zone_window_agg(rows, "1 hour", stations=ids)
-    assert same(counted, Z.zone_window_agg(rows, "1 hour"))
+    whole = Z.zone_window_agg(rows, "1 hour")
+    counted = Z.zone_window_agg(rows, "1 hour", stations, only_known=True)
+    assert same(counted, whole)
     assert plan(counted).count("hashpartitioning") == 1
-    # An unknown sensor makes the list incomplete, so there is none.
-    assert Z.zone_window_agg(rows, "1 hour", stations=ids[1:]).where("sensor_ids IS NULL").count() > 0
-    with pytest.raises(ValueError):
-        Z.zone_window_agg(rows, stations=[str(i) for i in range(201)])
+    # Unknown sensors, and ids that are named twice, change nothing.
+    assert same(Z.zone_window_agg(rows, "1 hour", stations[3:] + stations[5:]), whole)
+    with pytest.raises(Exception, match="no known station"):
+        Z.zone_window_agg(rows, "1 hour", stations[1:], only_known=True).collect()
+
+
+def test_zones_with_more_stations_than_counters(raw):
+    stations = [s | {"sensor_id": f"{s['sensor_id']}-{k:03d}"} for s in R.station_rows()[:2] for k in range(101)]
+    rows = E.enrich(raw.limit(40), stations)
+    whole = Z.zone_window_agg(rows, "1 day")
+    assert same(Z.zone_window_agg(rows, "1 day", stations, only_known=True), whole)
+    assert whole.agg(F.max("active_sensors")).first()[0] > 1000
 
 
 def test_zone_table_types(readings):
@@ -180,6 +197,25 @@ def test_keep_last(spark):
     assert {tuple(r) for r in keep_last(log, ["k"]).collect()} == {("a", 9), ("b", 3)}
 
 
+def test_newest_version_is_of_the_latest_run(spark):
+    log = spark.createDataFrame([("a", 1, "1-x", 9), ("a", 2, "2-y", 0), ("b", 3, "1-x", 4)], "k string, v int, run string, batch_id bigint")
+    assert {tuple(r) for r in keep_last(log, ["k"]).collect()} == {("a", 2), ("b", 3)}
+
+
+def test_empty_zone_name_is_no_filter(readings):
+    from sensorgrid.plans.registered import AS_OF
+
+    assert same(S.measurements_list(readings, AS_OF, "", hours=None), S.measurements_list(readings, AS_OF, None, hours=None))
+
+
+def test_a_dead_zone_does_not_hold_the_others_back(spark):
+    rows = spark.range(5000).selectExpr(
+        "'busy' AS zone_id", "timestamp'2024-01-01' + make_dt_interval(0, id) AS timestamp", "0 AS partition", "id AS offset"
+    ).unionByName(spark.sql("SELECT 'dead' AS zone_id, timestamp'2020-01-01' AS timestamp, 0 AS partition, 7L AS offset"))
+    kept = L.tail(rows, ["zone_id"], "timestamp", 10).groupBy("zone_id").count().collect()
+    assert {r.zone_id: r["count"] for r in kept} == {"busy": 10, "dead": 1}
+
+
 # --- order
 
 
@@ -250,7 +286,7 @@ def table(spark, readings, tmp_path_factory):
 def test_ranks_are_cut_off_before_the_shuffle(table):
     text = plan(L.last_n(table, ["zone_id"], L.ARRIVAL, 500))
     assert text.count("WindowGroupLimit") == 4 and text.count("Partial") == 2
-    assert plan(Z.zone_window_agg(table)).count("WindowGroupLimit") == 2
+    assert plan(Z.zone_window_agg(table)).count("FileScan") == 1
 
 
 def test_aggregates_stay_in_hash_aggregation(table):

@@ -11,11 +11,12 @@ from test_operators import same
 from sensorgrid.operators import latest as L, registry as R, zones as Z
 from sensorgrid.plans import bindings as B, serving as S
 from sensorgrid.plans.views import current_zone_windows, register_views
-from sensorgrid.schemas import READING
+from sensorgrid.schemas import MESSAGE, READING
 from sensorgrid.sinks.payload import to_payload
-from sensorgrid.sinks.writers import jdbc_sink, multi_sink, table_sink, topic_sink
+from sensorgrid.sinks.writers import BatchId, compact, jdbc_sink, multi_sink, split_sink, table_sink, topic_sink
 from sensorgrid.sources import messages as M
 from sensorgrid.streaming import jobs as J
+from sensorgrid.streaming.app import database_sinks, start_feed, start_service
 from sensorgrid.streaming.changelog import keep_last
 
 LENGTH = "1 hour"
@@ -95,7 +96,7 @@ def test_append_mode_emits_closed_windows_once(spark, quarters, tmp_path):
     rows = B.readings(stream(spark, deliver(quarters, tmp_path / "in", [1, 2, 3, 4])))
     out = str(tmp_path / "out")
     J.run_available(J.zone_stream(rows, LENGTH, "1 hour"), table_sink(out), "append", out + "-state", state_partitions=4)
-    closed = spark.read.parquet(out).drop("batch_id")
+    closed = J.read_versions(spark, out).drop("run", "batch_id")
     batch = Z.zone_measures(B.readings(spark.read.parquet(*quarters)), LENGTH)
     assert closed.exceptAll(batch).isEmpty() and 0 < batch.count() - closed.count() < 20
 
@@ -148,17 +149,46 @@ def test_history_snapshots_equal_batch(spark, quarters, tmp_path, keep):
     J.run_available(rows, sink, "append", out + "-state")
     want = L.last_n(B.readings(spark.read.parquet(*quarters)), ["zone_id"], L.ARRIVAL, 60)
     assert same(J.latest_snapshot(spark, out), want)
-    assert len(glob.glob(f"{out}/slot=*")) <= keep
+    assert len(glob.glob(f"{out}/run=*/batch_id=*")) <= keep
     # The last batch again, as after a failed commit: same snapshot.
-    sink(B.readings(spark.read.parquet(quarters[1])), 3)
+    run = J.run_label(spark, out + "-state")
+    sink(B.readings(spark.read.parquet(quarters[1])), BatchId(3, run))
     assert same(J.latest_snapshot(spark, out), want)
 
 
+def test_history_goes_on_under_a_new_checkpoint(spark, quarters, tmp_path):
+    out = str(tmp_path / "out")
+    assert J.latest_snapshot(spark, out).isEmpty()
+    sink = J.history_sink(out, n=60)
+    for k, part in enumerate(([1, 2], [3, 4])):
+        rows = B.readings(stream(spark, deliver(quarters, tmp_path / f"in{k}", part))).select(*READING.fieldNames(), *L.ARRIVAL)
+        J.run_available(rows, sink, "append", f"{out}-state{k}")
+    whole = B.readings(spark.read.parquet(*quarters)).select(*READING.fieldNames(), *L.ARRIVAL)
+    assert same(J.latest_snapshot(spark, out), L.last_n(whole, ["zone_id"], L.ARRIVAL, 60))
+
+
+def test_unreadable_history_is_an_error(spark, tmp_path):
+    (tmp_path / "out" / "run=1-a" / "batch_id=0").mkdir(parents=True)
+    (tmp_path / "out" / "run=1-a" / "batch_id=0" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        J.latest_snapshot(spark, str(tmp_path / "out"))
+
+
+def test_second_checkpoint_keeps_the_first_runs_rows(spark, quarters, tmp_path):
+    out = str(tmp_path / "out")
+    for k, part in enumerate(([1, 2, 3], [4])):
+        rows = B.readings(stream(spark, deliver(quarters, tmp_path / f"in{k}", part)))
+        J.run_available(rows, table_sink(out), "append", f"{out}-state{k}")
+    stored = J.read_versions(spark, out)
+    assert same(stored.drop("run", "batch_id"), B.readings(spark.read.parquet(*quarters)))
+    assert stored.select("run").distinct().count() == 2
+
+
 def test_station_job_with_ids(spark, quarters, tmp_path):
     stations = R.station_rows()
     feed = B.raw_feed(stream(spark, deliver(quarters, tmp_path / "in", [1, 2, 3, 4])))
     rows = J.readings_stream(feed, stations)
-    zones = J.zone_stream(rows, LENGTH, "1 hour", stations=[s["sensor_id"] for s in stations])
+    zones = J.zone_stream(rows, LENGTH, "1 hour", stations=stations, only_known=True)
     out = str(tmp_path / "out")
     J.run_available(zones, table_sink(out), "update", out + "-state", state_partitions=4)
     batch = Z.zone_window_agg(
@@ -168,13 +198,95 @@ def test_station_job_with_ids(spark, quarters, tmp_path):
 
 
 def test_two_queries_end_together(spark, quarters, tmp_path):
-    spark.streams.resetTerminated()
     rows = B.readings(stream(spark, deliver(quarters, tmp_path / "in", [1, 2, 3, 4])))
+    # A query that ended before, and one that is not waited for, do not matter.
+    J.run_available(rows, table_sink(str(tmp_path / "e")), "append", str(tmp_path / "se"))
+    other = J.start(rows, table_sink(str(tmp_path / "o")), "append", str(tmp_path / "so"))
     a = J.start(rows, table_sink(str(tmp_path / "a")), "append", str(tmp_path / "sa"), {"availableNow": True})
     b = J.start(rows, table_sink(str(tmp_path / "b")), "append", str(tmp_path / "sb"))
-    J.await_any(spark, [a, b])
+    try:
+        J.await_any([a, b])
+        assert not a.isActive and not b.isActive and other.isActive
+        assert same(J.read_versions(spark, str(tmp_path / "a")).drop("run", "batch_id"), B.readings(spark.read.parquet(*quarters)))
+    finally:
+        other.stop()
+
+
+def test_failure_of_one_query_is_raised_and_stops_the_other(spark, quarters, tmp_path):
+    rows = B.readings(stream(spark, deliver(quarters, tmp_path / "in", [1])))
+
+    def fails(batch, batch_id):
+        raise RuntimeError("sink down")
+
+    a = J.start(rows, table_sink(str(tmp_path / "a")), "append", str(tmp_path / "sa"))
+    b = J.start(rows, fails, "append", str(tmp_path / "sb"))
+    with pytest.raises(Exception, match="sink down"):
+        J.await_any([a, b])
     assert not a.isActive and not b.isActive
-    spark.streams.resetTerminated()
+
+
+def test_late_rows_of_all_batches(spark, quarters, tmp_path):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        _, query = zone_changelog(spark, deliver(quarters, tmp_path / "in", [4, 1, 2, 3]), str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    _, whole = zone_changelog(spark, deliver(quarters, tmp_path / "in2", [4, 1, 2, 3]), str(tmp_path / "out2"))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert len(query.recentProgress) <= 2 and J.late_rows(query) == J.late_rows(whole) > 0
+
+
+def test_service_of_many_stations(spark, quarters, tmp_path):
+    stations = [s | {"sensor_id": f"{s['sensor_id']}-{k:02d}"} for s in R.station_rows()[:3] for k in range(67)]
+    feed = B.raw_feed(stream(spark, deliver(quarters, tmp_path / "in", [1])))
+    out, zones = str(tmp_path / "readings"), str(tmp_path / "zones")
+    for q in start_service(feed, stations, [table_sink(out)], [table_sink(zones)], str(tmp_path / "state"), {"availableNow": True}, state_partitions=2):
+        q.awaitTermination()
+    batch = Z.zone_window_agg(J.readings_stream(B.raw_feed(spark.read.parquet(quarters[0])), stations))
+    assert len(stations) == 201 and same(current_zone_windows(J.read_versions(spark, zones)), batch)
+
+
+def test_feed_of_the_serving_side(spark, quarters, tmp_path):
+    messages = to_payload(B.readings(spark.read.parquet(*quarters)), keep=L.ARRIVAL)
+    messages.withColumns({"key": F.lit(None).cast("binary"), "value": F.col("value").cast("binary"), "topic": F.lit("r")}).select(
+        *MESSAGE.fieldNames()).write.parquet(str(tmp_path / "topic"))
+    feed = spark.readStream.schema(MESSAGE).parquet(str(tmp_path / "topic"))
+    latest, history = str(tmp_path / "latest"), str(tmp_path / "history")
+    for q in start_feed(feed, table_sink(latest), history, str(tmp_path / "state"), {"availableNow": True}, 60, 2):
+        q.awaitTermination()
+    rows = M.feed_ingest(spark.read.parquet(str(tmp_path / "topic")))
+    last = keep_last(J.read_versions(spark, latest), ["zone_id"])
+    assert same(last.drop("received_at"), L.latest_by_arrival(rows).drop("received_at"))
+    assert same(J.latest_snapshot(spark, history).drop("received_at"), L.last_n(rows, ["zone_id"], L.ARRIVAL, 60).drop("received_at"))
+
+
+def test_files_follow_size_not_tasks(spark, sf_dir, tmp_path):
+    rows = B.readings(B.events(spark, sf_dir)).repartition(16)
+    out, compacted = str(tmp_path / "out"), str(tmp_path / "compacted")
+    days = rows.select(F.to_date("datetime")).distinct().count()
+    for k in range(3):
+        table_sink(out, event_date="datetime", created_at="created_at")(rows, k)
+    assert len(glob.glob(f"{out}/run=*/batch_id=0/event_date=*/*.parquet")) <= 2 * days
+    compact(spark, out, compacted, event_date="datetime")
+    assert len(glob.glob(f"{compacted}/*/*/event_date=*/*.parquet")) <= 2 * days
+    assert J.read_versions(spark, compacted).count() == 3 * rows.count()
+    assert J.read_versions(spark, out).where("created_at IS NULL").isEmpty()
+
+
+def test_rows_that_break_the_contract_reach_the_quarantine_only(spark, sf_dir, tmp_path, folder_database):
+    rows = B.readings(B.events(spark, sf_dir)).select(*READING.fieldNames()).limit(20)
+    poison = rows.withColumn("time", F.lit("12:00:00.123"))
+    valid, refused = str(tmp_path / "valid"), str(tmp_path / "refused")
+    sink = database_sinks(table_sink(valid), table_sink(refused), "jdbc:x", "r", {}, "reading")
+    stored = multi_sink(sink, topic_sink("t", fmt="json", path=str(tmp_path / "topic")))(rows.unionByName(poison), 0)
+    assert spark.read.parquet(folder_database).count() == spark.read.parquet(valid).count() == 20
+    assert spark.read.parquet(refused).count() == 20 and stored is None or stored.count() == 40
+    assert spark.read.json(str(tmp_path / "topic")).count() == 40
+    zones = Z.zone_window_agg(B.readings(B.events(spark, sf_dir)), LENGTH).limit(3)
+    long = zones.withColumn("zone_name", F.repeat(F.lit("z"), 101))
+    out = str(tmp_path / "zones")
+    split_sink("zone", table_sink(out, shape=Z.array_to_csv), table_sink(out + "-refused"))(zones.unionByName(long), 0)
+    assert spark.read.parquet(out).count() == spark.read.parquet(out + "-refused").count() == 3
 
 
 def test_empty_batch_reaches_no_sink(spark):
@@ -219,13 +331,14 @@ def test_jdbc_sink_writes_what_a_failed_attempt_left_out(spark, folder_database)
     # Ten rows, each twice; the failed attempt committed some, one of them once.
     batch = spark.range(20).selectExpr("CAST(id % 10 AS STRING) AS sensor_id", "timestamp_ntz'2024-01-01' AS datetime")
     part = batch.where("sensor_id < '3'").unionByName(batch.where("sensor_id = '7'").limit(1))
-    part.withColumn("batch_id", F.lit(5).cast("bigint")).write.parquet(folder_database)
-    sink = jdbc_sink("jdbc:x", "sensor_readings", {}, batch_column="batch_id")
-    sink(batch, 5)
-    sink(batch, 6)
+    part.withColumn("batch", F.lit("1-a/5")).write.parquet(folder_database)
+    sink = jdbc_sink("jdbc:x", "sensor_readings", {}, batch_column="batch")
+    sink(batch, BatchId(5, "1-a"))
+    sink(batch, BatchId(6, "1-a"))
+    sink(batch, BatchId(5, "2-b"))  # the same number under another checkpoint
     stored = spark.read.parquet(folder_database)
-    for number in (5, 6):
-        assert same(stored.where(f"batch_id = {number}").drop("batch_id"), batch)
+    for label in ("1-a/5", "1-a/6", "2-b/5"):
+        assert same(stored.where(F.col("batch") == label).drop("batch"), batch)
 
 
 def test_jdbc_sink_of_zone_rows(spark, sf_dir, folder_database):
