@@ -14,8 +14,9 @@ string can only repeat where its anchor's gram repeats.
    partitions are sorted, and the suffixes of a gram, now neighbours, are compared at
    every offset: first by leading bytes, ties by a hash of the whole string, which is
    enough to tell whether they are equal.
-4. A gram at either end of a partition may go on in the next one, and one with too
-   many contexts is not held at once: their strings are compared across partitions.
+4. A gram at either end of a partition may go on in the next one: such grams are put
+   together across the boundary and compared. One with more contexts than a task should
+   hold is compared string by string, by an aggregation over all of its tasks.
 5. Intervals found in a context hold wherever it stands, and are cut from the texts.
 
 Grams and contexts that are worth keeping are told to the tasks as bitmaps of a fixed
@@ -190,20 +191,51 @@ class Dedup:
         return arrow_map(self.text, task, "lead long, gram long, context long, bytes binary")
 
     def compared(self, cuts: DataFrame) -> DataFrame:
-        """(gram, context, start, stop, string): intervals whose strings repeat, with
-        ``string`` null; and strings still to be compared across partitions."""
+        """(gram, context, start, stop): the stretches of contexts whose strings repeat."""
+        order = ["lead", "gram", "context"]
+        n = max(1, int(cuts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        placed = cuts.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        first = saved(self._in_buckets(placed, whole=False), "suffix-compared")
+        # Grams that a splitter or the limit has cut: put together again, or, if they
+        # have too many contexts for one task, compared string by string.
+        cut = first.where("bytes is not null").select("gram", "context", "bytes")
+        counts = saved(cut.groupBy("gram").agg(F.count("*").alias("n")), "suffix-cut")
+        few = cut.join(counts.where(F.col("n") <= self.group_rows).select("gram"), "gram")
+        few = self._in_buckets(few.repartition("gram").sortWithinPartitions("gram", "context"), whole=True)
+        many = cut.join(counts.where(F.col("n") > self.group_rows).select("gram"), "gram")
+        strings = saved(self._strings(many), "suffix-strings")
+        again = saved(
+            strings.groupBy("string").agg(F.min("context").alias("lo"), F.max("context").alias("hi"))
+            .where("lo != hi").select("string"),
+            "suffix-again",
+        )
+        found = ["gram", "context", "start", "stop"]
+        return (
+            first.where("bytes is null").select(*found)
+            .unionByName(few.select(*found)).unionByName(strings.join(again, "string").select(*found))
+        )
+
+    def _in_buckets(self, placed: DataFrame, whole: bool) -> DataFrame:
         length, limit = self.length, self.group_rows
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from _Bucket(length, limit).run(batches)
+            yield from _Bucket(length, limit, whole).run(batches)
 
-        order = ["lead", "gram", "context"]
-        n = max(1, int(cuts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        sorted_ = cuts.repartitionByRange(n, *order).sortWithinPartitions(*order)
-        return arrow_map(
-            sorted_.select("gram", "context", "bytes"), task,
-            "gram long, context long, start int, stop int, string long",
-        )
+        schema = "gram long, context long, start int, stop int, bytes binary"
+        return arrow_map(placed.select("gram", "context", "bytes"), task, schema)
+
+    def _strings(self, contexts: DataFrame) -> DataFrame:
+        """(gram, context, start, stop, string) of every string of the contexts."""
+        length = self.length
+
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = list(zip(*(batch.column(c).to_pylist() for c in ("gram", "context", "bytes"))))
+                for k in range(0, len(rows), 256):
+                    row, offset, string = _hashed(rows[k : k + 256], length)
+                    yield _found(rows[k : k + 256], row, offset, offset + length, string=pa.array(string.view(np.int64)))
+
+        return arrow_map(contexts, task, "gram long, context long, start int, stop int, string long")
 
     def intervals(self) -> DataFrame:
         """(key, spans): the repeated stretches of every text that has any."""
@@ -215,15 +247,8 @@ class Dedup:
         )
         several = kinds.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
         chosen = saved(kinds.join(saved(several, "suffix-grams"), "gram").select("gram", "context", "one"), "suffix-chosen")
-        found = saved(self.compared(self.cut_out(chosen)), "suffix-compared")
-        again = (
-            found.where("string is not null").groupBy("string")
-            .agg(F.min("context").alias("lo"), F.max("context").alias("hi")).where("lo != hi").select("string")
-        )
+        parts = self.compared(self.cut_out(chosen))
         whole = kinds.where("one != other").select("gram", "context", F.lit(0).alias("start"), F.col("size").alias("stop"))
-        parts = found.where("string is null").unionByName(found.join(saved(again, "suffix-again"), "string")).select(
-            "gram", "context", "start", "stop"
-        )
         spans = saved(
             whole.unionByName(parts).groupBy("gram", "context").agg(
                 F.collect_set(F.struct("start", "stop")).alias("spans")
@@ -264,17 +289,38 @@ def _occurrence_numbers(chosen: DataFrame) -> DataFrame:
     return arrow_map(rows, task, "number long")
 
 
+def _hashed(rows: list, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, offset, hash) of every string of the rows' contexts."""
+    data = np.frombuffer(b"".join(r[2] for r in rows), np.uint8)
+    ends = np.cumsum([len(r[2]) for r in rows])
+    counts = np.array([len(r[2]) - length + 1 for r in rows])
+    row = np.repeat(np.arange(len(rows)), counts)
+    offset = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    begin = np.concatenate(([0], ends[:-1]))[row] + offset
+    return row, offset, span_hash(prefix_hash(data), begin, begin + length)
+
+
+def _found(rows: list, row: np.ndarray, start: np.ndarray, stop: np.ndarray, **last: pa.Array) -> pa.RecordBatch:
+    gram, context = (np.array([r[k] for r in rows], np.int64)[row] for k in (0, 1))
+    spans = [pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(gram), pa.array(context), *spans, *last.values()], ["gram", "context", "start", "stop", *last]
+    )
+
+
 class _Bucket:
-    """Compares the contexts of one sorted partition, gram by gram, in batches of grams."""
+    """Compares the contexts of one sorted partition, gram by gram, in batches of grams.
 
-    NAMES = ["gram", "context", "start", "stop", "string"]
+    Unless ``whole`` says that no gram is in two partitions, the first and the last gram
+    are handed back with their contexts, as is one with more than ``limit``.
+    """
 
-    def __init__(self, length: int, limit: int) -> None:
-        self.length, self.limit = length, limit
+    def __init__(self, length: int, limit: int, whole: bool) -> None:
+        self.length, self.limit, self.whole = length, limit, whole
         self.held: list[tuple[int, int, bytes]] = []  # whole grams, to be compared
         self.size = 0
         self.group: list[tuple[int, int, bytes]] = []  # the gram that is being read
-        self.open = True  # whether that gram may have rows elsewhere
+        self.open = not whole  # whether that gram may have rows elsewhere
 
     def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -283,46 +329,36 @@ class _Bucket:
                 if (gram, context) == last:
                     continue  # the same context, let through by the bitmap
                 if last and gram != last[0]:
-                    yield from self._close(self.open)
+                    yield from self._close()
                     self.open = False
                 last = gram, context
                 self.group.append((gram, context, data))
-                if len(self.group) > self.limit:
+                if not self.whole and len(self.group) > self.limit:
                     self.open = True
-                    yield from self._close(True)
-        yield from self._close(True)
+                    yield from self._close()
+        self.open = self.open or not self.whole
+        yield from self._close()
         yield from self._compare()
 
-    def _close(self, is_open: bool) -> Iterator[pa.RecordBatch]:
-        """Ends a gram, or a part of it: keeps it for comparison, or gives its strings away."""
-        if is_open:
-            yield from self._strings(self.group)
-        else:
+    def _close(self) -> Iterator[pa.RecordBatch]:
+        """Ends a gram, or a part of it: keeps it for comparison, or hands it back."""
+        if self.open and self.group:
+            gram, context, data = zip(*self.group)
+            none = pa.nulls(len(gram), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gram, pa.int64()), pa.array(context, pa.int64()), none, none, pa.array(data, pa.binary())],
+                ["gram", "context", "start", "stop", "bytes"],
+            )
+        elif self.group:
             self.held += self.group
             self.size += sum(len(r[2]) for r in self.group)
         self.group = []
         if self.size > BATCH_BYTES:
             yield from self._compare()
 
-    def _hashed(self, rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, offset, hash) of every string of the rows' contexts."""
-        data = np.frombuffer(b"".join(r[2] for r in rows), np.uint8)
-        ends = np.cumsum([len(r[2]) for r in rows])
-        counts = np.array([len(r[2]) - self.length + 1 for r in rows])
-        row = np.repeat(np.arange(len(rows)), counts)
-        offset = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-        begin = np.concatenate(([0], ends[:-1]))[row] + offset
-        return row, offset, span_hash(prefix_hash(data), begin, begin + self.length)
-
-    def _strings(self, rows: list) -> Iterator[pa.RecordBatch]:
-        for k in range(0, len(rows), 256):
-            part = rows[k : k + 256]
-            row, offset, string = self._hashed(part)
-            yield self._batch(part, row, offset, offset + self.length, pa.array(string.view(np.int64)))
-
     def _compare(self) -> Iterator[pa.RecordBatch]:
         if self.held:
-            row, offset, string = self._hashed(self.held)
+            row, offset, string = _hashed(self.held, self.length)
             order = np.argsort(string, kind="stable")
             equal = string[order][1:] == string[order][:-1]
             twice = np.zeros(len(string), bool)
@@ -332,20 +368,13 @@ class _Bucket:
             on = np.flatnonzero(twice)
             new = np.ones(len(on), bool)
             new[1:] = (on[1:] != on[:-1] + 1) | (row[on[1:]] != row[on[:-1]])
-            first = on[np.flatnonzero(new)]
-            last = on[np.append(np.flatnonzero(new)[1:], len(on)) - 1] if len(on) else on
-            if len(first):
-                none = pa.nulls(len(first), pa.int64())
-                yield self._batch(self.held, row[first], offset[first], offset[last] + self.length, none)
+            heads = np.flatnonzero(new)
+            if len(heads):
+                first, last = on[heads], on[np.append(heads[1:], len(on)) - 1]
+                none = pa.nulls(len(first), pa.binary())
+                yield _found(self.held, row[first], offset[first], offset[last] + self.length, bytes=none)
         self.held, self.size = [], 0
 
-    def _batch(self, rows: list, row: np.ndarray, start: np.ndarray, stop: np.ndarray, string: pa.Array) -> pa.RecordBatch:
-        gram, context = (np.array([r[k] for r in rows], np.int64)[row] for k in (0, 1))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(gram), pa.array(context), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), string],
-            self.NAMES,
-        )
-
 
 def _cut(data: bytes, spans: list[dict] | None) -> tuple[int, int, bytes]:
     """(bytes removed, maximal removed runs, what is left)."""
