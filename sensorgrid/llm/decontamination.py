@@ -31,6 +31,7 @@ from sensorgrid.llm.common import saved, text_digest
 WINDOW_WORDS = 13
 SHINGLE_WORDS = 5
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_WINDOWS = 50_000
 #: A document is contaminated if hit words are at least one in so many.
 HIT_SHARE = 20
 # Fixed value: what a word is, after lower-casing.
@@ -149,10 +150,13 @@ def candidates(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def with_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows with ``q2_words`` and ``q2_hit``, numbers of words, and ``q2_items``, a sorted list.
 
-    Candidates are few and written, so they are broadcast to the texts if they are
-    small; if not, texts are shuffled once, and those with many copies are split.
+    Candidates are written and counted: they may be broadcast to the texts if they are
+    few; if not, texts are shuffled once, and those with many copies are split.
     """
     found = candidates(docs, benchmark)
+    # A small file can hold many equal windows; what counts is how many there are.
+    if (found.agg(F.sum(F.size("q2_found"))).first()[0] or 0) > MAX_BROADCAST_WINDOWS:
+        found = found.hint("merge")
     marked = docs.withColumn("q2_key", _digest())
     marked = marked.join(found, marked["q2_key"] == found["q2_digest"], "left").withColumn("q2_w", words())
     end = lambda c: c["start"] + F.size(c["window"])
