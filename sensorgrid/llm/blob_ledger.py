@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sensorgrid.llm.common import saved
 from sensorgrid.session import new_path
 
 
@@ -138,7 +139,8 @@ class Ledger:
         unseen = blobs.join(self.rows(rule_version).select("blob"), "blob", "left_anti")
         scan_blobs(unseen, rules).select("blob", F.lit(rule_version).alias("rule_version"), "found").write.mode(
             "append").parquet(self.path)
-        return marked.select("path", "blob").join(self.rows(rule_version).dropDuplicates(["blob"]), "blob", "left")
+        found = saved(self.rows(rule_version).dropDuplicates(["blob"]), "blob-findings")
+        return marked.select("path", "blob").join(found, "blob", "left")
 
 
 def secret_spans(docs: DataFrame, ledger: Ledger | None = None) -> DataFrame:
