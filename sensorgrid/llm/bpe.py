@@ -21,6 +21,7 @@ alike; an empty table gives no rows; other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 from collections.abc import Iterator
@@ -38,6 +39,7 @@ from sensorgrid.llm.textscan import pieces
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 REMEMBERED = 400_000
 MAX_REMEMBERED_BYTES = 48
+LONG_WORD = 100
 MAX_VOCABULARY_CHARS = 64 << 20
 
 
@@ -68,26 +70,44 @@ class Vocabulary:
             self.rank[bytes(alphabet[c] for c in left), bytes(alphabet[c] for c in right)] = k
 
     def merged(self, word: bytes) -> list[int]:
-        """Ids of one pre-token: the lowest-ranked pair is merged first."""
-        if word in self.id_of and len(word) == 1:
-            return [self.id_of[word]]
+        """Ids of one pre-token: the lowest-ranked pair is merged first, the leftmost of equals."""
         parts = [word[i : i + 1] for i in range(len(word))]
-        rank, never = self.rank, len(self.rank)
-        while len(parts) > 1:
-            best = min(zip(parts, parts[1:]), key=lambda p: rank.get(p, never))
-            if best not in rank:
-                break
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and (parts[i], parts[i + 1]) == best:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
+        if len(parts) > LONG_WORD:
+            parts = self._merged_long(parts)
+        else:
+            get, never = self.rank.get, len(self.rank)
+            ranks = [get(pair, never) for pair in zip(parts, parts[1:])]
+            while ranks and (least := min(ranks)) < never:
+                i = ranks.index(least)
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+                del ranks[i]
+                if i:
+                    ranks[i - 1] = get((parts[i - 1], parts[i]), never)
+                if i < len(ranks):
+                    ranks[i] = get((parts[i], parts[i + 1]), never)
         return [self.id_of[p] for p in parts]
 
+    def _merged_long(self, parts: list[bytes]) -> list[bytes]:
+        """The same with a heap of pairs, for words that are too long to be searched each time."""
+        n, get = len(parts), self.rank.get
+        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
+        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := get((parts[i], parts[i + 1]))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, left, right = heapq.heappop(heap)
+            j = after[i]
+            if parts[i] != left or j < 0 or parts[j] != right:
+                continue  # one of the two was merged meanwhile
+            parts[i], parts[j] = left + right, b""
+            after[i] = after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            after[j] = -1
+            for k in (before[i], i):
+                if k >= 0 and after[k] >= 0 and (r := get((parts[k], parts[after[k]]))) is not None:
+                    heapq.heappush(heap, (r, k, parts[k], parts[after[k]]))
+        return [p for p in parts if p]
+
 
 class Splitter:
     """Cuts of a text, from the byte pairs of the vocabulary."""
