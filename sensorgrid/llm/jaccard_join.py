@@ -13,10 +13,11 @@ tree of its documents. The order is by rarity, from a sketch of a fixed number o
 counters over the shingles of all documents, so passages that many documents share
 come last; any sketch gives the same links, a good one fewer candidates.
 
-Equal sets are one class. In a tree all classes are first compared with one leader,
-which finds the components of near copies in linear work; what is then left to compare
-are pairs of different components, page by page. A pair inside a component needs no
-comparison, so no group emits all its pairs and no link between components is lost.
+Equal sets are one class. Every tree has a leader. A class is first compared with two
+of the leaders it meets, which finds the components of near copies in linear work; what
+is then left to compare are pairs of different components, page by page. A pair inside
+a component needs no comparison, so no group emits all its pairs and no link between
+components is lost.
 
 Cases: null or empty text, or one without words, has an empty set, linked with nothing;
 fewer words than a shingle are one shingle; a null doc_id is linked like any other and
@@ -33,7 +34,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sensorgrid.llm.common import arrow_map, same, saved, text_digest
+from sensorgrid.llm.bitmap import bitmap, in_bitmap
+from sensorgrid.llm.common import arrow_map, saved, text_digest
 from sensorgrid.llm.components import components
 from sensorgrid.llm.textscan import (
     LOWER, SPACE, mix, pieces, prefix_hash, rows_of, runs, segment_counts, shingle_hash, span_hash,
@@ -43,11 +45,11 @@ SHINGLE_WORDS = 4
 SIMILAR, OF = 85, 100
 GROUPS = 32
 PAGE_ROWS = 256
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 SLICE_BITS = 14
 MERGE_FAN_IN = 64
-#: Half-octaves of a counter's count above the mean that the order tells apart.
-LEVELS = 40
+#: The order tells counters above the mean apart by eighths of an octave.
+LEVEL_STEPS = 8
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,10 +85,16 @@ def token_sketch(docs: DataFrame, size: int = SHINGLE_WORDS) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int64)
+        held: list[np.ndarray] = []
         for batch in batches:
             for _, _, data, at in pieces(batch.column("text")):
                 _, token = shingle_sets(data, at, size)
-                total += np.bincount((token >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total))
+                held.append((token >> np.uint64(64 - SKETCH_BITS)).astype(np.int32))
+                if sum(map(len, held)) > 1 << SKETCH_BITS:
+                    total += np.bincount(np.concatenate(held), minlength=len(total))
+                    held = []
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=len(total))
         parts = total.reshape(-1, 1 << SLICE_BITS)
         if total.any():
             yield pa.RecordBatch.from_pydict(
@@ -115,7 +123,7 @@ def token_sketch(docs: DataFrame, size: int = SHINGLE_WORDS) -> np.ndarray:
         total[r["slice"]] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
     flat = total.reshape(-1)
     above = np.log2(np.maximum(flat / max(flat.mean(), 1.0), 1.0))
-    return np.minimum(2 * above, LEVELS).astype(np.uint8)
+    return np.minimum(LEVEL_STEPS * above, 255).astype(np.uint8)
 
 
 def prefix_size(n: int, similar: int = SIMILAR, of: int = OF) -> int:
@@ -123,6 +131,12 @@ def prefix_size(n: int, similar: int = SIMILAR, of: int = OF) -> int:
     return n - (similar * n + of - 1) // of + 1
 
 
+def set_name(members: np.ndarray) -> int:
+    """A number for a set: a sum does not depend on the order of its members."""
+    total = np.sum(mix(members + np.uint64(1)), dtype=np.uint64) + np.uint64(len(members))
+    return int(mix(np.array([total])).view(np.int64)[0])
+
+
 def points(docs: DataFrame, level: np.ndarray, size: int, similar: int, of: int) -> DataFrame:
     """Every row's class, size, group counts and the tokens it is filed under."""
     held = docs.sparkSession.sparkContext.broadcast(level.tobytes())
@@ -143,9 +157,7 @@ def points(docs: DataFrame, level: np.ndarray, size: int, similar: int, of: int)
                         kind.append(0), vector.append(None), prefix.append(None)
                         continue
                     order = np.lexsort((own, rank[(ends[r - 1] if r else 0) : ends[r]]))[: prefix_size(len(own), similar, of)]
-                    # The set's name: a sum does not depend on the order of its members.
-                    name = mix(np.array([np.sum(mix(own + np.uint64(1)), dtype=np.uint64) + np.uint64(len(own))]))
-                    kind.append(int(name.view(np.int64)[0]))
+                    kind.append(set_name(own))
                     vector.append(np.bincount((own & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS))
                     prefix.append(own[order].view(np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -161,22 +173,33 @@ def points(docs: DataFrame, level: np.ndarray, size: int, similar: int, of: int)
 
 
 def set_arrays(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """(class, members) of the classes in ``wanted`` (class, doc_id, digest)."""
+    """(class, members) of the rows whose numbers are in the one column of ``wanted``, and of few others.
+
+    The rows are picked where their texts lie, so neither texts nor other sets are moved.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(bitmap(wanted))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            members = []
-            for _, _, data, at in pieces(batch.column("text")):
+            on = in_bitmap(held.value, batch.column("number").to_numpy().view(np.uint64)) if batch.num_rows else []
+            names, members = [], []
+            for _, _, data, at in pieces(batch.column("text").filter(pa.array(on, pa.bool_()))):
                 row, token = shingle_sets(data, at, size)
                 ends = np.cumsum(segment_counts(row, len(at) - 1))
-                members += np.split(token.view(np.int64), ends[:-1])
+                for own in np.split(token, ends[:-1]):
+                    names.append(set_name(own))
+                    members.append(own.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("class"), pa.array(members, pa.list_(pa.int64()))], ["class", "members"]
+                [pa.array(names, pa.int64()), pa.array(members, pa.list_(pa.int64()))], ["class", "members"]
             )
 
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"), "text")
-    chosen = text.join(wanted, same(text, wanted, ["doc_id", "digest"])).select("class", "text")
-    return arrow_map(chosen, task, "class long, members array<long>").dropDuplicates(["class"])
+    return arrow_map(_numbered(docs).select("number", "text"), task, "class long, members array<long>")
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """doc_id, digest and text, with a number for what is in the row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"), "text")
+    return rows.withColumn("number", F.xxhash64("doc_id", "digest"))
 
 
 def minima(left: Column, right: Column) -> Column:
@@ -192,12 +215,11 @@ class Join:
         filled = self.rows.where("n > 0")
         self.point = saved(
             filled.groupBy("class").agg(
-                F.first("n").alias("n"), F.first("groups").alias("groups"), F.first("prefix").alias("prefix"),
-                F.min(F.struct("digest", "doc_id")).alias("one"),
+                F.first("n").alias("n"), F.first("groups").alias("groups"), F.min(F.xxhash64("doc_id", "digest")).alias("one")
             ),
             "jaccard-points",
         )
-        self.tokens = self.point.select("class", "n", F.explode("prefix").alias("token"))
+        self.tokens = filled.select("class", F.explode("prefix").alias("token"))
 
     def may_link(self, n1: Column, n2: Column, overlap: Column) -> Column:
         """Whether sets of these sizes that share ``overlap`` tokens are similar."""
@@ -206,13 +228,17 @@ class Join:
     def links(self) -> DataFrame:
         """Links that connect whatever is connected; not all links inside a component."""
         leaders = saved(
-            self.tokens.groupBy("token").agg(F.min("class").alias("leader"), F.count("*").alias("rows"))
-            .where("rows > 1").select("token", "leader"),
+            self.tokens.groupBy("token").agg(F.min("class").alias("leader"), F.max("class").alias("last"))
+            .where("leader != last").select("token", "leader"),
             "jaccard-leaders",
         )
         shared = saved(self.tokens.join(leaders, "token"), "jaccard-shared")
-        star = shared.where("class != leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
-        first = self.verified(star)
+        # Of the leaders that a class meets, the one it shares most tokens with, and the smallest.
+        met = shared.where("class != leader").groupBy("class", "leader").agg(F.count("*").alias("n"))
+        star = met.groupBy("class").agg(
+            F.array(F.max(F.struct("n", "leader"))["leader"], F.min("leader")).alias("leaders")
+        )
+        first = self.verified(star.select(F.explode(F.array_distinct("leaders")).alias("a"), F.col("class").alias("b")))
         group = saved(components(first), "jaccard-groups")
         rest = self.across(shared, group)
         return first.unionByName(self.verified(rest))
@@ -228,46 +254,67 @@ class Join:
             .select("a", "b", "na", "nb")
         )
         near = saved(near, "jaccard-near")
-        nodes = near.select(F.col("a").alias("class")).unionByName(near.select(F.col("b").alias("class"))).distinct()
-        wanted = saved(
-            self.point.join(nodes, "class").select("class", F.col("one.doc_id").alias("doc_id"), F.col("one.digest").alias("digest")),
-            "jaccard-wanted",
-        )
-        sets = saved(set_arrays(self.docs, wanted, self.size), "jaccard-sets")
+        # The sets of either side are read where they are joined, and not kept.
+        sets = {}
+        for side in ("a", "b"):
+            nodes = near.select(F.col(side).alias("class")).distinct()
+            wanted = self.point.join(nodes, "class").select("one")
+            sets[side] = set_arrays(self.docs, wanted, self.size).withColumnsRenamed({"class": side, "members": f"s{side}"})
         overlap = F.size(F.array_intersect("sa", "sb"))
-        return saved(
-            near.join(sets.withColumnsRenamed({"class": "b", "members": "sb"}), "b")
-            .join(sets.withColumnsRenamed({"class": "a", "members": "sa"}), "a")
-            .where(self.may_link(F.col("na"), F.col("nb"), overlap))
-            .select("a", "b"),
-            "jaccard-links",
-        )
+        linked = near.join(sets["b"], "b").join(sets["a"], "a").where(self.may_link(F.col("na"), F.col("nb"), overlap))
+        return saved(linked.select("a", "b").distinct(), "jaccard-links")
 
     def across(self, shared: DataFrame, group: DataFrame) -> DataFrame:
         """Pairs of classes that share a token, are of different components and may be similar.
 
-        Trees with one component only are done. The others' classes are packed into
-        pages by size and by the side of the mean on which their counts lie; pages
-        whose largest counts cannot reach the overlap are not opened together.
+        Trees with one component only are done. A tree of few classes is a single page.
         """
         named = shared.join(group, shared["class"] == group["node"], "left").select(
-            "token", "class", "n", F.coalesce("component", "class").alias("component")
+            "token", "class", F.coalesce("component", "class").alias("component")
         )
         mixed = saved(
             named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
             .where("lo != hi").select("token"),
             "jaccard-mixed",
         )
+        entry = saved(
+            named.join(mixed, "token").distinct().join(self.point.select("class", "n", "groups"), "class"), "jaccard-entries"
+        )
+        sizes = saved(entry.groupBy("token").agg(F.count("*").alias("rows")), "jaccard-sizes")
+        small, large = sizes.where(F.col("rows") <= PAGE_ROWS), sizes.where(F.col("rows") > PAGE_ROWS)
+        one = entry.join(small.select("token"), "token").groupBy("token").agg(self._rows().alias("rows1"))
+        one = one.withColumn("rows2", F.col("rows1"))
+        pairs = one.select("rows1", "rows2").unionByName(self._opened(entry.join(large.select("token"), "token")))
+        # Pairs are looked at inside their pages; only those that may be similar become rows.
+        found = F.flatten(F.transform("rows1", lambda x: F.transform(
+            F.filter("rows2", lambda y: self._may_be_similar(x, y)),
+            lambda y: F.struct(F.least(x["class"], y["class"]).alias("a"), F.greatest(x["class"], y["class"]).alias("b")),
+        )))
+        return pairs.select(F.explode(found).alias("pair")).select("pair.*").distinct()
+
+    @staticmethod
+    def _rows() -> Column:
+        return F.collect_list(F.struct("class", "n", "component", "groups"))
+
+    def _may_be_similar(self, x: Column, y: Column) -> Column:
+        """Whether two entries of different components can be, each pair once in a page."""
+        other = (x["component"] != y["component"]) & (x["class"] < y["class"])
+        near = self.may_link(x["n"], y["n"], F.least(x["n"], y["n"]))
+        # The sum over the groups is only made for pairs of near sizes.
+        return F.when(other & near, self.may_link(x["n"], y["n"], minima(x["groups"], y["groups"]))).otherwise(False)
+
+    def _opened(self, entry: DataFrame) -> DataFrame:
+        """Pairs of pages (rows1, rows2) below the tokens with many classes.
+
+        Classes are packed into pages by size and by the side of the mean on which their
+        counts lie; pages whose largest counts cannot reach the overlap stay closed.
+        """
         sides = F.aggregate(
             F.slice("groups", 1, 6), F.lit(0),
             lambda s, x: s * 2 + F.when(x * GROUPS > F.col("n"), F.lit(1)).otherwise(F.lit(0)),
         )
         band = F.floor(F.log("n") / float(-np.log(self.similar / self.of))).cast("int")
-        entry = (
-            named.join(mixed, "token").join(self.point.select("class", "groups"), "class")
-            .withColumn("band", band).withColumn("side", sides)
-        )
-        entry = saved(entry, "jaccard-entries")
+        entry = entry.withColumn("band", band).withColumn("side", sides)
         fill = saved(
             entry.groupBy("token", "band", "side").agg(F.ceil(F.count("*") / PAGE_ROWS).alias("pages")), "jaccard-fill"
         )
@@ -277,8 +324,7 @@ class Join:
             entry.join(fill, ["token", "band", "side"]).withColumn("page", place)
             .groupBy("token", "page")
             .agg(
-                F.collect_list(F.struct("class", "n", "component", "groups")).alias("rows"),
-                F.min("n").alias("least"), F.max("n").alias("most"),
+                self._rows().alias("rows"), F.min("n").alias("least"), F.max("n").alias("most"),
                 F.min("component").alias("lo"), F.max("component").alias("hi"), *largest,
             )
             .withColumn("top", F.array(*[f"g{g}" for g in range(GROUPS)])).drop(*[f"g{g}" for g in range(GROUPS)]),
@@ -287,24 +333,13 @@ class Join:
         one = pages.withColumnsRenamed({c: f"{c}1" for c in pages.columns if c != "token"})
         two = pages.withColumnsRenamed({c: f"{c}2" for c in pages.columns if c != "token"})
         least, most = F.col("least1") + F.col("least2"), minima(F.col("top1"), F.col("top2"))
-        opened = one.join(two, "token").where(
-            (F.col("page1") <= F.col("page2"))
-            & (self.of * F.col("most1") >= self.similar * F.col("least2"))
+        # Both orders of two pages are opened, as a pair of entries counts in one order only.
+        return one.join(two, "token").where(
+            (self.of * F.col("most1") >= self.similar * F.col("least2"))
             & (self.of * F.col("most2") >= self.similar * F.col("least1"))
             & ~((F.col("lo1") == F.col("hi1")) & (F.col("lo1") == F.col("lo2")) & (F.col("lo2") == F.col("hi2")))
             & ((self.similar + self.of) * most >= self.similar * least)
-        )
-        pair = opened.select(F.col("rows2").alias("rows2"), F.explode("rows1").alias("x")).select(
-            "x", F.explode("rows2").alias("y")
-        )
-        x, y = F.col("x"), F.col("y")
-        return (
-            pair.where((x["component"] != y["component"]) & (x["class"] != y["class"]))
-            .where(self.may_link(x["n"], y["n"], F.least(x["n"], y["n"])))
-            .where(self.may_link(x["n"], y["n"], minima(x["groups"], y["groups"])))
-            .select(F.least(x["class"], y["class"]).alias("a"), F.greatest(x["class"], y["class"]).alias("b"))
-            .distinct()
-        )
+        ).select("rows1", "rows2")
 
     def grouped(self) -> DataFrame:
         """(doc_id, digest, n, component) of every row; component is a class, null for empty sets."""
