@@ -2,10 +2,13 @@
 
 A pass over the texts counts words, symbols, repeated lines and repeated windows.
 Each signal of a (lang, source) group goes into a quantile sketch, and a document is
-rejected if a signal lies far outside its group's quartiles; fixed cutoffs are only
-left in the base rule. Sketches are counts in logarithmic buckets: merging is adding,
-so partial sketches of tasks, groups or days combine in any order to the same result,
-a retried task changes nothing, and a quantile is within ``ACCURACY`` of the true one.
+rejected if a signal lies further outside its group's quartiles than ``FENCE`` times
+the group's spread: the distance of the quartiles or, if larger, that from a quartile to
+the first of the quantiles in ``TAILS`` that differs from it, on either side for itself.
+Where there is no spread at all, the quartile is the fence. Fixed cutoffs are only left
+in the base rule. Sketches are counts in logarithmic buckets: merging is adding, so
+partial sketches of tasks, groups or days combine in any order to the same result, a
+retried task changes nothing, and a quantile is within ``ACCURACY`` of the true one.
 A group too small for quartiles takes those of its language, and a language too small
 those of all documents, which are merges of the same sketches.
 
@@ -38,8 +41,9 @@ ACCURACY = 0.01
 GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 MIN_GROUP = 100
 FENCE = 3.0
-#: Signals, and the least spread that counts as usual for each (a group may have none).
-SIGNALS = {"word_length": 1.0, "symbol_ratio": 0.05, "dup_line_ratio": 0.1, "repeat_ratio": 0.1}
+#: Shares of a group beyond a quantile that its spread is taken from.
+TAILS = (0.1, 0.05, 0.01)
+SIGNALS = ("word_length", "symbol_ratio", "dup_line_ratio", "repeat_ratio")
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 MARKS = tuple(f"q5_{c}" for c in COUNTS)
@@ -155,7 +159,7 @@ def merged(one: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, signal, documents, q1, q3) of sketches merged over the other keys."""
+    """(keys, signal, documents, q1, q3, and both ``TAILS``) of sketches merged over the other keys."""
     group = W.partitionBy(*keys, "signal")
     counts = sketches.groupBy(*keys, "signal", "bucket").agg(F.sum("n").alias("n"))
     value = F.coalesce(2 * F.pow(F.lit(GAMMA), F.col("bucket")) / (GAMMA + 1), F.lit(0.0))
@@ -166,27 +170,38 @@ def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
     )
     at = lambda q: F.min(F.when(F.col("upto") > q * (F.col("documents") - 1), F.col("value")))
     return ranked.groupBy(*keys, "signal").agg(
-        F.first("documents").alias("documents"), at(0.25).alias("q1"), at(0.75).alias("q3")
+        F.first("documents").alias("documents"), at(0.25).alias("q1"), at(0.75).alias("q3"),
+        F.array(*[at(t) for t in TAILS]).alias("below"), F.array(*[at(1 - t) for t in TAILS]).alias("above"),
+    )
+
+
+def fences(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, signal, documents, low, high) of sketches merged over the other keys."""
+    q1, q3 = F.col("q1"), F.col("q3")
+    first = lambda spreads: F.coalesce(F.get(F.filter(spreads, lambda s: s > 0), F.lit(0)), F.lit(0.0))
+    down = F.greatest(q3 - q1, first(F.transform("below", lambda v: q1 - v)))
+    up = F.greatest(q3 - q1, first(F.transform("above", lambda v: v - q3)))
+    # A quantile stands for its bucket: the fence leaves the whole bucket inside.
+    bottom, top = q1 * ((GAMMA + 1) / (2 * GAMMA) - 1e-9), q3 * ((GAMMA + 1) / 2 + 1e-9)
+    return quartiles(sketches, keys).select(
+        *keys, "signal", "documents", (bottom - FENCE * down).alias("low"), (top + FENCE * up).alias("high")
     )
 
 
 def thresholds(sketches: DataFrame) -> DataFrame:
     """One row per (lang, source): lower and upper fence of every signal."""
-    own = quartiles(sketches, ["lang", "source"]).alias("o")
-    language = quartiles(sketches, ["lang"]).withColumnsRenamed({"documents": "ld", "q1": "l1", "q3": "l3"})
-    whole = quartiles(sketches, []).withColumnsRenamed({"documents": "wd", "q1": "w1", "q3": "w3"})
+    own = fences(sketches, ["lang", "source"])
+    language = fences(sketches, ["lang"]).withColumnsRenamed({"documents": "ld", "low": "l_low", "high": "l_high"})
+    whole = fences(sketches, []).withColumnsRenamed({"documents": "wd", "low": "w_low", "high": "w_high"})
     language = language.withColumnsRenamed({"lang": "l_lang", "signal": "l_signal"})
     whole = whole.withColumnRenamed("signal", "w_signal")
     joined = own.join(
         language, own["lang"].eqNullSafe(language["l_lang"]) & (own["signal"] == language["l_signal"])
     ).join(whole, F.col("signal") == F.col("w_signal"))
-    pick = lambda a, b, c: F.when(F.col("documents") >= MIN_GROUP, F.col(a)).when(
-        F.col("ld") >= MIN_GROUP, F.col(b)).otherwise(F.col(c))
-    least = F.coalesce(*[F.when(F.col("signal") == k, F.lit(v)) for k, v in SIGNALS.items()])
-    q1, q3 = pick("q1", "l1", "w1"), pick("q3", "l3", "w3")
-    reach = FENCE * F.greatest(q3 - q1, least)
-    fences = joined.select("lang", "source", "signal", (q1 - reach).alias("low"), (q3 + reach).alias("high"))
-    return fences.groupBy("lang", "source").agg(
+    pick = lambda side: F.when(F.col("documents") >= MIN_GROUP, F.col(side)).when(
+        F.col("ld") >= MIN_GROUP, F.col(f"l_{side}")).otherwise(F.col(f"w_{side}"))
+    picked = joined.select("lang", "source", "signal", pick("low").alias("low"), pick("high").alias("high"))
+    return picked.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("signal") == s, F.col(side))).alias(f"q5_{side}_{s}")
           for s in SIGNALS for side in ("low", "high")]
     )
