@@ -23,13 +23,15 @@ def _violations(required: tuple[str, ...], lengths: dict[str, int]) -> list[Colu
     return missing + too_long
 
 
-def _nothing_parsed() -> list[Column]:
+def _nothing_parsed(columns: list[str]) -> list[Column]:
     empty = F.coalesce(*[F.col(c).cast("string") for c in RAW_TEXT_FIELDS + RAW_COUNT_FIELDS]).isNull()
     no_time = F.col("datetime").isNull()
-    return [
+    reasons = [
         F.when(empty, F.lit("no field parsed")),
         F.when(~empty & no_time, F.lit("no event time")),
     ]
+    # Known where the messages are carried along; a field of another type alone is no reason.
+    return reasons + [F.when((empty | no_time) & F.col("malformed"), F.lit("malformed text"))] * ("malformed" in columns)
 
 
 def check_rows(df: DataFrame, contract: str) -> DataFrame:
@@ -39,7 +41,7 @@ def check_rows(df: DataFrame, contract: str) -> DataFrame:
     tables).
     """
     checks = {
-        "raw": _nothing_parsed,
+        "raw": lambda: _nothing_parsed(df.columns),
         "reading": lambda: _violations(READING_REQUIRED, READING_TEXT_LENGTHS),
         "zone": lambda: _violations(ZONE_REQUIRED, ZONE_TEXT_LENGTHS),
     }[contract]()

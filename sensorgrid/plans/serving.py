@@ -61,7 +61,7 @@ def latest_of_zones(
     feed: DataFrame, order: Sequence[str], cols: Sequence[str] | None = None
 ) -> DataFrame:
     """The last arrived row of every zone."""
-    return latest_by_arrival(_tail(feed, 1, order), order, cols)
+    return latest_by_arrival(feed, order, cols)
 
 
 def _tail(feed: DataFrame, size: int, order: Sequence[str]) -> DataFrame:

@@ -17,8 +17,10 @@ def read_versions(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns({"run": F.col("run").cast("string"), "batch_id": F.col("batch_id").cast("bigint")})
 
 
-def keep_last(changelog: DataFrame, keys: Sequence[str], version: Sequence[str] = VERSION) -> DataFrame:
+def keep_last(
+    changelog: DataFrame, keys: Sequence[str], version: Sequence[str] = VERSION, lazy: bool = False
+) -> DataFrame:
     """The newest version of every row: of the latest run, in it of the latest batch."""
     order = [c for c in version if c in changelog.columns]
     rest = [c for c in changelog.columns if c not in order]
-    return latest_by(changelog, keys, order, [*rest, *order]).drop(*order)
+    return latest_by(changelog, keys, order, [*rest, *order], lazy).drop(*order)

@@ -154,6 +154,34 @@ def test_zones_with_more_stations_than_counters(raw):
     assert whole.agg(F.max("active_sensors")).first()[0] > 1000
 
 
+def test_unknown_sensor_is_an_error_however_many_stations(raw, monkeypatch):
+    stations = R.station_rows()
+    rows = E.enrich(raw, stations)
+    stray = rows.limit(1).withColumn("sensor_id", F.lit("nobody"))
+    for counters in (64, 2, 0):
+        monkeypatch.setattr(Z, "COUNTERS_PER_ZONE", counters)
+        known = Z.zone_window_agg(rows, "1 hour", stations, only_known=True)
+        assert same(Z.array_to_csv(known), Z.array_to_csv(Z.zone_window_agg(rows, "1 hour")))
+        with pytest.raises(Exception, match="no known station"):
+            Z.zone_window_agg(rows.unionByName(stray), "1 hour", stations, only_known=True).collect()
+        assert Z.zone_window_agg(rows.unionByName(stray), "1 hour", stations).where("array_contains(sensor_ids, 'nobody')").count() == 1
+
+
+def test_sensor_sketches_merge_within_their_error(spark):
+    """Thousands of sensors; the error bound is five standard errors."""
+    n = 20_000
+    rows = spark.range(3 * n).selectExpr(
+        f"CAST(id % {n} AS STRING) AS sensor_id", "'z' AS zone_id", "'Z' AS zone_name",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, CAST(id % 24 AS INT)) AS datetime",
+    ).unionByName(spark.sql("SELECT NULL, 'z', 'Z', timestamp_ntz'2024-01-01'").toDF("sensor_id", "zone_id", "zone_name", "datetime"))
+    sketches = Z.sensor_sketches(rows, "1 hour")
+    assert sketches.select(F.max(F.octet_length("sensors"))).first()[0] < 5000
+    day = Z.distinct_sensors(sketches, "zone_id").first()["distinct_sensors"]
+    assert abs(day - n) < 5 * 0.0163 * n
+    few = Z.sensor_sketches(rows.where("CAST(sensor_id AS INT) < 400"), "1 hour")
+    assert Z.distinct_sensors(few, "zone_id").first()["distinct_sensors"] == 400
+
+
 def test_zone_table_types(readings):
     types = dict(Z.to_zone_table(Z.zone_window_agg(readings)).dtypes)
     assert types["active_sensors"] == types["avg_aqi"] == "int"
@@ -182,6 +210,31 @@ def test_last_n_of_a_hot_key_equals_brute_force(spark):
     assert {(r.zone_id, r.offset) for r in S.latest_of_zones(rows, L.ARRIVAL).collect()} == newest
 
 
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_latest_row_of_any_key_and_order(spark, monkeypatch, few):
+    """Hot keys, ties of any length, nulls, texts in the order; by either way the same."""
+    monkeypatch.setattr(L, "FEW_KEYS", few)
+    rows = spark.range(5000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL ELSE CAST(id % 40 AS STRING) END AS k",
+        "CASE WHEN id % 7 > 0 THEN CONCAT('run', id % 3) END AS run", "CASE WHEN id % 11 > 0 THEN id % 5 END AS a",
+        "CASE WHEN id % 40 = 5 THEN NULL ELSE CAST(id * 7919 % 5003 AS INT) END AS b", "id AS v",
+    )
+    for order in (["a", "b", "v"], ["run", "a", "b", "v"], ["b", "v"], ["run", "v"]):
+        best: dict = {}
+        for r in rows.collect():
+            rank = tuple((r[c] is not None, r[c] if r[c] is not None else 0) for c in order)
+            if r.k not in best or rank > best[r.k][0]:
+                best[r.k] = rank, r.v
+        got = L.latest_by(rows, ["k"], order)
+        assert got.columns == rows.columns and {r.k: r.v for r in got.collect()} == {k: v for k, (_, v) in best.items()}
+        lazy = L.latest_by(rows, ["k"], order, ["k", "v"], lazy=True)
+        assert {tuple(r) for r in lazy.collect()} == {(k, v) for k, (_, v) in best.items()}
+    assert L.latest_by(rows.limit(0), ["k"], ["a"]).isEmpty()
+    # Whole ties give one row, and texts alone as order work too.
+    assert L.latest_by(spark.range(9).selectExpr("'k' AS k", "1 AS a"), ["k"], ["a"]).count() == 1
+    assert L.latest_by(rows, ["k"], ["run"]).select("k").distinct().count() == len(best)
+
+
 def test_tail_keeps_whole_history_of_short_zones(spark):
     rows = spark.sql(
         "SELECT 'old' AS zone_id, timestamp'2020-01-01' AS timestamp, 0 AS partition, 0L AS offset "
@@ -289,6 +342,22 @@ def test_ranks_are_cut_off_before_the_shuffle(table):
     assert plan(Z.zone_window_agg(table)).count("FileScan") == 1
 
 
+def test_latest_rows_are_not_sorted_below_the_shuffle(table):
+    """One pruned pass finds the newest, one scan picks the rows; wide rows are neither sorted nor all sent."""
+    text = plan(S.zones_list(table))
+    assert "SortAggregate" not in text and "BroadcastHashJoin" in text and "WindowGroupLimit" in text
+    assert text.count("FileScan") == 2 and text.count("Exchange hashpartitioning") == 1
+    first, leading = L.newest_per_key(table, ["zone_id"], L.ARRIVAL)
+    text = plan(first)
+    assert leading == ["timestamp"] and "SortAggregate" not in text and "aqi" not in text.split("ReadSchema")[1]
+
+
+def test_cut_offs_reach_the_scan(table):
+    text = plan(S.kept_history(table, 5, L.ARRIVAL))
+    assert text.count("FileScan") == 2
+    assert "GreaterThanOrEqual(timestamp" in text
+
+
 def test_aggregates_stay_in_hash_aggregation(table):
     text = plan(Z.zone_measures(table))
     assert "partial_count" in text and "SortAggregate" not in text and "ObjectHash" not in text
