@@ -479,7 +479,7 @@ oracle(
     f"SELECT {FEED_COLUMNS}, rank() OVER (ORDER BY datetime DESC) - 1 AS position FROM latest",
 )
 HISTORY_COLUMNS = 'zone_id, sensor_id, datetime, aqi, "offset"'
-oracle("history_last_n stream_history", history_sql(500), f"SELECT {HISTORY_COLUMNS} FROM history")
+oracle("history_last_n stream_history stream_keyed_history", history_sql(500), f"SELECT {HISTORY_COLUMNS} FROM history")
 oracle("history_last_100", history_sql(100), f"SELECT {HISTORY_COLUMNS} FROM history")
 oracle("zone_history_size", history_sql(500), "SELECT zone_id, count(*) AS kept FROM history GROUP BY zone_id")
 
@@ -540,6 +540,23 @@ oracle(
     f"""SELECT 'table' AS sink, {READING_COLUMNS} FROM readings
         UNION ALL SELECT 'readings', {READING_COLUMNS} FROM readings""",
 )
+oracle(
+    "committed_batches", READINGS,
+    'SELECT sensor_id, zone_id, datetime, aqi, CAST("offset" % 3 AS BIGINT) AS batch_id FROM readings',
+)
+oracle("changelog_merge", ZONES, f"SELECT * EXCLUDE (sensor_ids_str) FROM (SELECT {ZONE_COLUMNS} FROM zones)")
+oracle(
+    "stream_distinct_sensors", READINGS,
+    "SELECT zone_id, date, count(DISTINCT sensor_id) AS distinct_sensors FROM readings GROUP BY zone_id, date",
+)
+oracle(
+    "stream_dead_letters", f"""{MESSAGES},
+    judged AS (SELECT m.*, k FROM messages m JOIN raw ON raw.event_id = m."offset")""",
+    """SELECT CASE WHEN k < 10 THEN 'no json' ELSE '{' || substr(value, 22) END AS value,
+        topic, "partition", "offset", "timestamp",
+        CASE WHEN k < 10 THEN 'no field parsed; malformed text' ELSE 'no event time' END AS reasons
+        FROM judged WHERE k < 10 OR k >= 90""",
+)
 oracle(
     "stream_zone_append", ZONES,
     f"""SELECT * EXCLUDE (sensor_ids_str) FROM (SELECT {ZONE_COLUMNS} FROM zones)

@@ -17,13 +17,16 @@ from sensorgrid.plans import bindings as B, serving as S
 from sensorgrid.plans.views import current_zone_windows, register_views
 from sensorgrid.schemas import MESSAGE, READING, STATION
 from sensorgrid.session import new_path
+from sensorgrid.sinks.manifest import committed_sink, read_committed
 from sensorgrid.sinks.payload import replay_payload, to_payload, zones_payload
-from sensorgrid.sinks.writers import multi_sink, split_sink, table_sink, topic_sink, write_csv
+from sensorgrid.sinks.writers import multi_sink, read_routed, routed_sink, table_sink, topic_sink, write_csv
 from sensorgrid.sources import messages as M
 from sensorgrid.sources.csv_files import csv_scan
 from sensorgrid.streaming import jobs as J
 from sensorgrid.streaming.app import start_service
 from sensorgrid.streaming.changelog import keep_last
+from sensorgrid.streaming.compaction import merge_changes, read_merged
+from sensorgrid.streaming.history import keyed_history, read_history
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -189,11 +192,11 @@ def dq_split(spark: SparkSession, sf_dir: str) -> DataFrame:
             "sensor_id": F.when(F.col("particles_25") > 0, F.col("sensor_id")),
         }
     )
-    kept, refused = new_path(spark, "readings"), new_path(spark, "quarantine")
-    multi_sink(split_sink("reading", table_sink(kept), table_sink(refused)))(rows, 0)
+    path = new_path(spark, "routed-readings")
+    routed_sink("reading", path)(rows, 0)
     names = ("sensor_id", "zone_name", "datetime")
-    valid = spark.read.parquet(kept).select(*names, F.lit("").alias("reasons"))
-    quarantine = spark.read.parquet(refused)
+    valid = read_routed(spark, path).select(*names, F.lit("").alias("reasons"))
+    quarantine = read_routed(spark, path, refused=True)
     return valid.unionByName(quarantine.select(*names, F.concat_ws("; ", "reasons").alias("reasons")))
 
 
@@ -642,6 +645,61 @@ def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("zone_id", "sensor_id", "datetime", "aqi", "offset")
 
 
+@query
+def committed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches in a table with a manifest, the first of them written again."""
+    path = new_path(spark, "committed")
+    rows = _readings(spark, sf_dir)
+    sink = committed_sink(path)
+    for number in (0, 1, 2, 0):
+        sink(rows.where(F.col("offset") % 3 == number), number)
+    return read_committed(spark, path).select("sensor_id", "zone_id", "datetime", "aqi", "batch_id")
+
+
+@query
+def changelog_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone windows in two versions, the second over all readings, merged one after the other."""
+    log, base = new_path(spark, "zone-log"), new_path(spark, "zone-base")
+    rows = _readings(spark, sf_dir)
+    for number, seen in enumerate((rows.where(F.col("offset") % 3 < 2), rows)):
+        table_sink(log)(Z.zone_measures(seen, LENGTH), number)
+        merge_changes(spark, log, base, ["window_start", "zone_id", "zone_name"], "window_start")
+    return read_merged(spark, base)
+
+
+@query
+def stream_distinct_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensors of every zone and day, merged from the sketches that a stream keeps of its windows."""
+    path = new_path(spark, "sensor-sketches")
+    _run(J.sensor_sketch_stream(_stream(spark, sf_dir), LENGTH), table_sink(path), "update")
+    current = keep_last(J.read_versions(spark, path), ["window_start", "zone_id", "zone_name"])
+    day = F.to_date("window_start").cast("string").alias("date")
+    return Z.distinct_sensors(current, "zone_id", day)
+
+
+@query
+def stream_keyed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last rows per zone, kept as list state that a batch changes for its own zones only."""
+    path = new_path(spark, "keyed-history")
+    rows = _stream(spark, sf_dir)
+    _run(keyed_history(rows), table_sink(path), "update")
+    return read_history(spark, path, rows.schema).select("zone_id", "sensor_id", "datetime", "aqi", "offset")
+
+
+@query
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refused messages of a faulty feed, taken from quarantine and ingested again."""
+    path, readings = new_path(spark, "dead-letters"), new_path(spark, "readings")
+    sink = J.ingest_sink(path, R.station_rows(), table_sink(readings))
+    _run(B.faulty_raw_feed(B.event_stream(spark, sf_dir)), sink, "append")
+    refused = M.replay(J.dead_letters(spark, path))
+    again = Q.check_rows(M.ingest_json(refused, message=True), "raw").select("message.*", "reasons")
+    return _zoneless(again, "timestamp").select(
+        F.col("value").cast("string").alias("value"), "topic", "partition", "offset", "timestamp",
+        F.concat_ws("; ", "reasons").alias("reasons"),
+    )
+
+
 @query
 def stream_two_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The service: readings and zone windows of one feed, as two queries side by side."""

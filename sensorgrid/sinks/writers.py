@@ -15,9 +15,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from sensorgrid.operators.quality import dq_split
+from sensorgrid.operators.quality import check_rows
+from sensorgrid.session import new_path, remove_path
 from sensorgrid.sinks.payload import to_payload
 from sensorgrid.sources.csv_files import OPTIONS as CSV_OPTIONS
 from sensorgrid.streaming.changelog import keep_last, read_versions
@@ -192,16 +193,59 @@ def multi_sink(*sinks: Sink) -> Sink:
     return write
 
 
+def _route(batch: DataFrame, contract: str, folder: str) -> None:
+    """Writes a batch once, with its verdict as the partition ``refused``."""
+    checked = check_rows(batch, contract).withColumn("refused", F.size("reasons") > 0)
+    checked.write.mode("overwrite").partitionBy("refused").parquet(folder)
+
+
+def _routed(batch: DataFrame, folder: str, refused: bool) -> DataFrame:
+    schema = batch.schema.add("reasons", T.ArrayType(T.StringType())).add("refused", T.BooleanType())
+    rows = batch.sparkSession.read.schema(schema).parquet(folder).where(F.col("refused") == refused)
+    return rows.drop("refused") if refused else rows.drop("refused", "reasons")
+
+
+def routed_sink(contract: str, path: str) -> Sink:
+    """One table for all rows of a batch, judged and written once, partitioned by ``refused``.
+
+    ``read_routed`` gives either half, the refused one with ``reasons``. Returns the rows
+    as stored.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> DataFrame:
+        folder = f"{path}/{BatchId.of(batch_id).folder}"
+        _route(batch, contract, folder)
+        return batch.sparkSession.read.schema(batch.schema).parquet(folder)
+
+    write.stores = True
+    return write
+
+
+def read_routed(spark: SparkSession, path: str, batch_id: int | None = None, refused: bool = False) -> DataFrame:
+    """The valid or the refused rows of a ``routed_sink``, of one batch or of all."""
+    folder = path if batch_id is None else f"{path}/{BatchId.of(batch_id).folder}"
+    rows = spark.read.parquet(folder).where(F.col("refused") == refused)
+    return rows.drop("refused") if refused else rows.drop("refused", "reasons")
+
+
 def split_sink(contract: str, valid: Sink, quarantine: Sink) -> Sink:
     """Rows that meet a table contract to one sink, the others with reasons to another.
 
-    If both store what they get, the whole batch can be read from them.
+    The batch is judged and written once below the shared folder, where both sinks read
+    their half; that copy goes when they have ended. If both store what they get, the
+    whole batch can be read from them.
     """
     both = getattr(valid, "stores", False) and getattr(quarantine, "stores", False)
 
     def write(batch: DataFrame, batch_id: int) -> DataFrame | None:
-        good, bad = dq_split(batch, contract)
-        kept, refused = valid(good, batch_id), quarantine(bad, batch_id)
+        spark = batch.sparkSession
+        stage = new_path(spark, "routed")
+        try:
+            _route(batch, contract, stage)
+            kept = valid(_routed(batch, stage, False), batch_id)
+            refused = quarantine(_routed(batch, stage, True), batch_id)
+        finally:
+            remove_path(spark, stage)
         parts = [kept, refused and refused.drop("reasons")]
         parts = [p.select(*batch.columns) for p in parts if p is not None]
         return reduce(DataFrame.unionByName, parts) if both and parts else None

@@ -10,6 +10,9 @@ from sensorgrid.functions.numeric import truncated_int
 from sensorgrid.schemas import MESSAGE, RAW, RAW_AS_TEXT, READING
 
 
+CORRUPT = "_corrupt_record"
+
+
 def kafka_source(
     spark: SparkSession,
     topic: str,
@@ -51,18 +54,28 @@ def _lenient_int(text: Column) -> Column:
     return F.when(number.isNotNull() & ~F.isnan(number), truncated_int(number))
 
 
-def ingest_json(feed: DataFrame, mode: str = "strict") -> DataFrame:
+def ingest_json(feed: DataFrame, mode: str = "strict", message: bool = False) -> DataFrame:
     """Messages of the raw topic as typed columns with event time and PM values.
 
-    Every message is kept; one that does not parse has NULL data fields.
+    Every message is kept; one that does not parse has NULL data fields. With ``message``
+    each row carries the whole message as it came, so that a refused one can be replayed,
+    and ``malformed``: whether its text is no JSON object or has a field of another type.
     ``strict`` takes integers only. ``lenient`` also takes 12.0 and "12" (what a
     table with blanks turns integers into) and reads NaN as missing.
     """
     if mode not in ("strict", "lenient"):
         raise ValueError(f"unknown mode {mode!r}")
-    schema = RAW if mode == "strict" else RAW_AS_TEXT
-    record = F.from_json(F.col("value").cast("string"), schema)
-    raw = _unpack(feed, record, F.col("timestamp").alias("kafka_timestamp"))
+    schema, options = RAW if mode == "strict" else RAW_AS_TEXT, {}
+    beside = [F.col("timestamp").alias("kafka_timestamp")]
+    if message:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        options = {"columnNameOfCorruptRecord": CORRUPT}
+        beside.append(F.struct(*[c for c in MESSAGE.fieldNames() if c in feed.columns]).alias("message"))
+    record = F.from_json(F.col("value").cast("string"), schema, options)
+    raw = _unpack(feed, record, *beside)
+    if message:
+        no_text = F.col("message.value").isNull()
+        raw = raw.withColumn("malformed", F.col(CORRUPT).isNotNull() | no_text).drop(CORRUPT)
     if mode == "lenient":
         raw = raw.withColumns({c: _lenient_int(F.col(c)) for c in RAW_COUNT_FIELDS})
     return with_event_time(raw)
@@ -114,6 +127,11 @@ def feed_ingest(
     return key_present(rows).withColumn("received_at", iso_timestamp(stamp))
 
 
+def replay(refused: DataFrame) -> DataFrame:
+    """Refused messages as a feed again: the columns of a message and nothing else."""
+    return refused.select(*[c for c in MESSAGE.fieldNames() if c in refused.columns])
+
+
 def feed_inspect(feed: DataFrame) -> DataFrame:
     """Message text with its position in the topic."""
     return feed.select(F.col("value").cast("string").alias("value"), "partition", "offset")

@@ -13,11 +13,14 @@ from sensorgrid.plans import bindings as B, serving as S
 from sensorgrid.plans.views import current_zone_windows, register_views
 from sensorgrid.schemas import MESSAGE, READING
 from sensorgrid.sinks.payload import to_payload
-from sensorgrid.sinks.writers import BatchId, compact, jdbc_sink, multi_sink, split_sink, table_sink, topic_sink
+from sensorgrid.sinks.writers import (
+    BatchId, compact, jdbc_sink, multi_sink, read_routed, routed_sink, split_sink, table_sink, topic_sink,
+)
 from sensorgrid.sources import messages as M
 from sensorgrid.streaming import jobs as J
 from sensorgrid.streaming.app import database_sinks, start_feed, start_service
 from sensorgrid.streaming.changelog import keep_last
+from sensorgrid.streaming.history import keyed_history, read_history
 
 LENGTH = "1 hour"
 
@@ -368,3 +371,75 @@ def test_payload_keeps_columns_beside_the_message(spark):
 def test_union_of_unlike_feeds(spark):
     a, b = spark.sql("SELECT 1 AS x, 2 AS y"), spark.sql("SELECT 3 AS x")
     assert sorted(map(str, S.union_feeds(a, b).collect())) == ["Row(x=1, y=2)", "Row(x=3, y=None)"]
+
+
+# --- state per key, dead letters, one evaluation
+
+
+def test_keyed_history_changes_only_its_zones(spark, quarters, tmp_path):
+    out, source, n = str(tmp_path / "out"), tmp_path / "in", 60
+    whole = B.readings(spark.read.parquet(*quarters))
+    schema = whole.schema
+
+    def run():
+        J.run_available(keyed_history(B.readings(stream(spark, str(source))), n), table_sink(out), "update", out + "-state", state_partitions=4)
+
+    deliver(quarters, source, [3, 1])
+    run()
+    want = L.last_n(B.readings(spark.read.parquet(quarters[2], quarters[0])), ["zone_id"], L.ARRIVAL, n)
+    assert same(read_history(spark, out, schema), want)
+    # A restart goes on with the kept rows; the next files hold one zone and all zones.
+    shutil.copy(quarters[1], source / "all.parquet")
+    one = str(tmp_path / "one")
+    spark.read.parquet(quarters[3]).where("event_type = 'view'").coalesce(1).write.parquet(one)
+    shutil.copy(glob.glob(f"{one}/*.parquet")[0], source / "one.parquet")
+    for k, name in enumerate(("one", "all")):
+        os.utime(source / f"{name}.parquet", (1_800_000_000 + k, 1_800_000_000 + k))
+    run()
+    rest = spark.read.parquet(*quarters[:3]).unionByName(spark.read.parquet(one))
+    assert same(read_history(spark, out, schema), L.last_n(B.readings(rest), ["zone_id"], L.ARRIVAL, n))
+    versions = J.read_versions(spark, out)
+    # The zone that all new rows of the third batch belong to is all that batch has written;
+    # rows older than what is kept change nothing.
+    third = versions.where("batch_id = 2").select("zone_id").distinct().collect()
+    assert [r.zone_id for r in third] == ["view"]
+    assert versions.where("batch_id = 1").isEmpty()
+    assert versions.groupBy("batch_id", "zone_id").count().where(f"count > {n}").isEmpty()
+
+
+def test_refused_messages_can_be_replayed(spark, quarters, tmp_path):
+    feed = B.faulty_raw_feed(stream(spark, deliver(quarters, tmp_path / "in", [1, 2, 3, 4])))
+    dead, out = str(tmp_path / "dead"), str(tmp_path / "out")
+    stations = R.station_rows()
+    J.run_available(feed, J.ingest_sink(dead, stations, table_sink(out)), "append", out + "-state")
+    sent = B.faulty_raw_feed(spark.read.parquet(*quarters))
+    refused = M.replay(J.dead_letters(spark, dead))
+    assert refused.columns == MESSAGE.fieldNames() and 0 < refused.count() < sent.count()
+    # What is refused and what is stored are together what was sent.
+    stored = spark.read.parquet(out).count()
+    assert stored == len(stations) * (sent.count() - refused.count())
+    assert sent.select("value", "partition", "offset").exceptAll(refused.select("value", "partition", "offset")).count() * len(stations) == stored
+    # Mended messages go through.
+    mended = refused.withColumn("value", F.lit('{"date":"2024-01-01","time":"10:00:00","pm25_cf1":1}').cast("binary"))
+    again, more = str(tmp_path / "again"), str(tmp_path / "more")
+    J.ingest_sink(again, stations, table_sink(more))(mended, 0)
+    assert J.dead_letters(spark, again).isEmpty() and spark.read.parquet(more).count() == len(stations) * refused.count()
+
+
+@pytest.mark.parametrize("split", [True, False])
+def test_a_batch_is_judged_once(spark, sf_dir, tmp_path, split):
+    """Rows that would be judged otherwise the next time are neither lost nor there twice."""
+    rows = B.readings(B.events(spark, sf_dir)).select(*READING.fieldNames())
+    rows = rows.withColumn("zone_name", F.when(F.rand() < 0.5, F.col("zone_name")))
+    if split:
+        valid, refused = str(tmp_path / "valid"), str(tmp_path / "refused")
+        stored = split_sink("reading", table_sink(valid), table_sink(refused))(rows, 0)
+        halves = spark.read.parquet(valid), spark.read.parquet(refused)
+        assert stored.count() == rows.count()
+    else:
+        path = str(tmp_path / "routed")
+        assert routed_sink("reading", path)(rows, 0).columns == rows.columns
+        halves = read_routed(spark, path), read_routed(spark, path, refused=True)
+    ids = halves[0].select("sensor_id", "datetime").unionByName(halves[1].select("sensor_id", "datetime"))
+    assert same(ids, rows.select("sensor_id", "datetime"))
+    assert halves[0].where("zone_name IS NULL").isEmpty() and halves[1].where("zone_name IS NOT NULL").isEmpty()
