@@ -200,7 +200,8 @@ def _route(batch: DataFrame, contract: str, folder: str) -> None:
 
 
 def _routed(batch: DataFrame, folder: str, refused: bool) -> DataFrame:
-    schema = batch.schema.add("reasons", T.ArrayType(T.StringType())).add("refused", T.BooleanType())
+    judged = [T.StructField("reasons", T.ArrayType(T.StringType())), T.StructField("refused", T.BooleanType())]
+    schema = T.StructType([*batch.schema.fields, *judged])
     rows = batch.sparkSession.read.schema(schema).parquet(folder).where(F.col("refused") == refused)
     return rows.drop("refused") if refused else rows.drop("refused", "reasons")
 
@@ -215,7 +216,7 @@ def routed_sink(contract: str, path: str) -> Sink:
     def write(batch: DataFrame, batch_id: int) -> DataFrame:
         folder = f"{path}/{BatchId.of(batch_id).folder}"
         _route(batch, contract, folder)
-        return batch.sparkSession.read.schema(batch.schema).parquet(folder)
+        return batch.sparkSession.read.schema(batch.schema).parquet(folder).select(*batch.columns)
 
     write.stores = True
     return write
@@ -224,7 +225,7 @@ def routed_sink(contract: str, path: str) -> Sink:
 def read_routed(spark: SparkSession, path: str, batch_id: int | None = None, refused: bool = False) -> DataFrame:
     """The valid or the refused rows of a ``routed_sink``, of one batch or of all."""
     folder = path if batch_id is None else f"{path}/{BatchId.of(batch_id).folder}"
-    rows = spark.read.parquet(folder).where(F.col("refused") == refused)
+    rows = spark.read.parquet(folder).where(F.col("refused").cast("boolean") == refused)
     return rows.drop("refused") if refused else rows.drop("refused", "reasons")
 
 

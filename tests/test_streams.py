@@ -377,7 +377,7 @@ def test_union_of_unlike_feeds(spark):
 
 
 def test_keyed_history_changes_only_its_zones(spark, quarters, tmp_path):
-    out, source, n = str(tmp_path / "out"), tmp_path / "in", 60
+    out, source, n = str(tmp_path / "out"), tmp_path / "in", 20
     whole = B.readings(spark.read.parquet(*quarters))
     schema = whole.schema
 
