@@ -29,7 +29,7 @@ are not looked at. Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from hashlib import blake2b
 
 import numpy as np
@@ -46,6 +46,10 @@ TOP = 2000
 UNKNOWN = "und"
 #: Paths of a container before it bursts, and of all containers of a task before it spills.
 BURST, HELD = 1 << 14, 400_000
+#: Paths that are sorted and counted before they go into the trie.
+GATHERED = 1 << 20
+#: Rows of spilled runs that are handed on together.
+RUN_ROWS = 1 << 16
 ID = 8
 
 _END = np.isin(np.arange(256), [ord(c) for c in ".,;:!?\n\v\f\r"])
@@ -201,28 +205,46 @@ class Phrases:
 
         return arrow_map(self.docs, task, "lang string, word string, path binary, n long")
 
-    def _counted(self, paths, outcome) -> DataFrame:
-        """Runs (path, n) of the paths that ``paths`` gives for the words of a piece."""
+    def _counted(self, paths: Callable[[Words], np.ndarray], sizes: Sequence[int]) -> DataFrame:
+        """Runs (path, n) of the paths that ``paths`` gives for the words of a piece, and of their beginnings of the given sizes."""
         burst, held = self.burst, self.held
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             trie = HatTrie(ID, burst, held)
+            waiting: list[np.ndarray] = []
+
+            def counted(least: int) -> Iterator[pa.RecordBatch]:
+                # Equal paths are counted at once, then added below their first word.
+                if sum(map(len, waiting)) <= least:
+                    return
+                found, n = _unique(np.concatenate(waiting))
+                waiting.clear()
+                heads = np.flatnonzero(np.append(True, found[1:, 0] != found[:-1, 0]))
+                tails, counts = _split(found[:, 1:].tobytes(), ID * (found.shape[1] - 1)), n.tolist()
+                ends = [*heads[1:].tolist(), len(found)]
+                for head, a, b in zip(found[heads, 0].tolist(), heads.tolist(), ends):
+                    trie.add(head, tails[a:b], counts[a:b])
+                yield from runs_of(trie.spilled())
+
+            def runs_of(spilled: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+                # Many subtrees to a batch, as most are small.
+                held_, size = [], 0
+                for run in spilled:
+                    held_.append(run)
+                    size += len(run[1])
+                    if size >= RUN_ROWS:
+                        yield _paths(held_, sizes)
+                        held_, size = [], 0
+                if held_:
+                    yield _paths(held_, sizes)
+
             for batch in batches:
                 _, _, code = _coded(batch.column("lang"))
                 for first, last, data, at in pieces(batch.column("text")):
-                    found = paths(Words(data, at, code[first:last]))
-                    if not len(found):
-                        continue
-                    # Equal paths of the piece are counted at once, then added by their first word.
-                    found, n = _unique(found)
-                    heads = np.flatnonzero(np.append(True, found[1:, 0] != found[:-1, 0]))
-                    tails, counts = _split(found[:, 1:].tobytes(), ID * (found.shape[1] - 1)), n.tolist()
-                    for a, b in zip(heads, np.append(heads[1:], len(found))):
-                        trie.add(int(found[a, 0]), tails[a:b], counts[a:b])
-                    for part in trie.spilled():
-                        yield outcome(*part)
-            for part in trie.spilled(True):
-                yield outcome(*part)
+                    waiting.append(paths(Words(data, at, code[first:last])))
+                    yield from counted(GATHERED)
+            yield from counted(0)
+            yield from runs_of(trie.spilled(True))
 
         return arrow_map(self.docs, task, "path binary, n long")
 
@@ -232,10 +254,7 @@ class Phrases:
             on = np.flatnonzero(words.next[:-1] & known[:-1] & known[1:])
             return np.column_stack((words.id[on], words.id[on + 1]))
 
-        def run(head: int, tails: list[bytes], counts: list[int]) -> pa.RecordBatch:
-            return _paths(head, tails, np.array(counts), (2,))
-
-        return self._counted(paths, run)
+        return self._counted(paths, (2,))
 
     def _longer(self, held) -> DataFrame:
         longest = self.longest
@@ -254,10 +273,7 @@ class Phrases:
                 out[on, k] = words.id[at[on]]
             return out
 
-        def run(head: int, tails: list[bytes], counts: list[int]) -> pa.RecordBatch:
-            return _paths(head, tails, np.array(counts), range(3, longest + 1))
-
-        return self._counted(paths, run)
+        return self._counted(paths, range(3, longest + 1))
 
     def candidates(self) -> DataFrame:
         """(path, a): frequent phrases of two words and more, without parts of others as frequent."""
@@ -315,10 +331,13 @@ def _unique(paths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return paths[first], np.diff(np.append(first, len(paths)))
 
 
-def _paths(head: int, tails: list[bytes], n: np.ndarray, sizes) -> pa.RecordBatch:
-    """A sorted run's paths of the given sizes, where longer paths count for their beginnings."""
-    ids = np.frombuffer(b"".join(tails), np.uint64).reshape(len(tails), -1)
-    ids = np.column_stack((np.full(len(ids), head, np.uint64), ids))
+def _paths(runs: list[tuple[int, list[bytes], list[int]]], sizes: Sequence[int]) -> pa.RecordBatch:
+    """Sorted runs' paths of the given sizes, where longer paths count for their beginnings."""
+    lengths = [len(tails) for _, tails, _ in runs]
+    head = np.repeat(np.array([h for h, _, _ in runs], np.uint64), lengths)
+    ids = np.frombuffer(b"".join(t for _, tails, _ in runs for t in tails), np.uint64).reshape(len(head), -1)
+    ids = np.column_stack((head, ids))
+    n = np.array([c for _, _, counts in runs for c in counts], np.int64)
     path, count = [], []
     for size in sizes:
         there = ids[:, size - 1] != 0
