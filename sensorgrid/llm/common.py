@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -11,8 +12,9 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sensorgrid.session import new_path
+from sensorgrid.session import new_path, remove_path
 
+BATCH_BYTES = "4194304b"
 EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
 
@@ -29,7 +31,45 @@ def saved(frame: DataFrame, label: str) -> DataFrame:
     """
     path = new_path(frame.sparkSession, label)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    held = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    held.saved_at = path
+    return held
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes tables that ``saved`` has written, once nothing will be read from them again."""
+    for frame in frames:
+        remove_path(frame.sparkSession, frame.saved_at)
+    if frames:
+        settle(frames[0].sparkSession)
+
+
+def settle(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of steps that have ended.
+
+    It does so when the driver collects garbage, which one that mostly waits seldom does
+    by itself.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def fresh(frame: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until the frame has no column of theirs."""
+    taken = {c.lower() for c in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def set_aside(frame: DataFrame, prefix: str) -> tuple[DataFrame, list[Column]]:
+    """The frame with columns of that prefix under other names, and what selects them under their own again."""
+    names = {c: fresh(frame, f"own_{c}")[0] for c in frame.columns if c.lower().startswith(prefix)}
+    back = [F.col(names[c]).alias(c) if c in names else F.col(c) for c in frame.columns]
+    return frame.withColumnsRenamed(names), back
 
 
 def text_digest(text: str = "text") -> Column:
@@ -52,8 +92,15 @@ def utf8_bytes(text: str = "text") -> Column:
 def arrow_map(
     frame: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` whose tasks can import this package."""
+    """``mapInArrow`` whose tasks can import this package.
+
+    Batches are limited to ``BATCH_BYTES``, for this session, as a task holds a batch
+    and what it makes of it, on the JVM's side too.
+    """
     _ship(frame.sparkSession)
+    conf = frame.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) != BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return frame.mapInArrow(task, schema)
 
 
