@@ -50,43 +50,62 @@ RULES = (
 RULE_VERSION = 1
 
 
-def spans(rule: Rule, order: int, text: str = "content") -> Column:
-    """Array of (start, kind's order, kind, end) of the rule's matches, in code points.
+_FOUND = "array<struct<start:int,ord:int,kind:string,end:int>>"
+#: Matches whose places are summed up together.
+BLOCK = 256
 
-    Gap i stands before match i, so a match starts after all gaps up to its own and
-    all matches before it. The sums are carried through the array once.
-    """
+
+def steps(rule: Rule, text: str = "content") -> Column:
+    """(gap, match, value) of the rule's matches: letters before it, in it and in its value."""
     t = F.col(text)
     pattern = F.lit(rule.pattern)
     matches = F.regexp_extract_all(t, pattern, F.lit(0))
     values = F.regexp_extract_all(t, pattern, F.lit(rule.group))
     gaps = F.split(t, rule.pattern, -1)
-    steps = F.arrays_zip(
+    found = F.arrays_zip(
         F.transform(F.slice(gaps, 1, F.size(matches)), lambda g: F.length(g)).alias("gap"),
         F.transform(matches, lambda m: F.length(m)).alias("match"),
         F.transform(values, lambda v: F.length(v)).alias("value"),
     )
-    ends = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,ord:int,kind:string,end:int>>").alias("found")),
-        lambda state, s: F.struct(
-            (state["at"] + s["gap"] + s["match"]).alias("at"),
-            F.when(
-                s["value"] >= rule.least,
-                F.concat(
-                    state["found"],
-                    F.array(
-                        F.struct(
-                            (state["at"] + s["gap"]).alias("start"), F.lit(order).alias("ord"),
-                            F.lit(rule.kind).alias("kind"), (state["at"] + s["gap"] + s["match"]).alias("end"),
-                        )
-                    ),
-                ),
-            ).otherwise(state["found"]).alias("found"),
-        ),
+    none = F.array().cast("array<struct<gap:int,match:int,value:int>>")
+    return F.when(t.rlike(rule.pattern), found).otherwise(none)
+
+
+def spans(rule: Rule, order: int, steps: str) -> Column:
+    """Array of (start, kind's order, kind, end) of the rule's matches, in code points.
+
+    Gap i stands before match i, so a match starts after all gaps up to its own and
+    all matches before it. Matches are taken in blocks: blocks are summed first, then
+    the places inside each follow from where it starts, so the work grows with the
+    matches and not with their square. ``steps`` is a column: in an expression it would
+    be made anew for every block.
+    """
+    all_ = F.col(steps)
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.ceil(F.size(all_) / BLOCK).cast("int")), lambda b: F.slice(all_, b * BLOCK + 1, F.lit(BLOCK))
     )
-    none = F.array().cast("array<struct<start:int,ord:int,kind:string,end:int>>")
-    return F.when(t.rlike(rule.pattern), ends["found"]).otherwise(none)
+    length = lambda block: F.aggregate(block, F.lit(0), lambda n, s: n + s["gap"] + s["match"])
+    starts = F.aggregate(
+        F.transform(blocks, length),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
+        lambda state, n: F.struct((state["at"] + n).alias("at"), F.array_append(state["starts"], state["at"]).alias("starts")),
+    )["starts"]
+
+    def inside(block: Column, start: Column) -> Column:
+        one = lambda state, s: F.struct(
+            (state["at"] + s["gap"]).alias("start"), F.lit(order).alias("ord"),
+            F.lit(rule.kind).alias("kind"), (state["at"] + s["gap"] + s["match"]).alias("end"),
+        )
+        return F.aggregate(
+            block,
+            F.struct(start.alias("at"), F.array().cast(_FOUND).alias("found")),
+            lambda state, s: F.struct(
+                (state["at"] + s["gap"] + s["match"]).alias("at"),
+                F.when(s["value"] >= rule.least, F.array_append(state["found"], one(state, s))).otherwise(state["found"]).alias("found"),
+            ),
+        )["found"]
+
+    return F.flatten(F.zip_with(blocks, starts, inside))
 
 
 def listed(found: Column) -> Column:
@@ -100,8 +119,11 @@ def blob_id(content: str = "content") -> Column:
 
 def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(blob, found) with all spans of every blob, in order."""
-    every = F.concat(*[spans(rule, k) for k, rule in enumerate(rules)])
-    return blobs.select("blob", F.array_sort(every).alias("found"))
+    # Out of a generator, as a projection would be copied into the blocks.
+    made = F.struct(*[steps(rule).alias(f"steps{k}") for k, rule in enumerate(rules)])
+    stepped = blobs.select("blob", F.inline(F.array(made)))
+    every = F.concat(*[spans(rule, k, f"steps{k}") for k, rule in enumerate(rules)])
+    return stepped.select("blob", F.array_sort(every).alias("found"))
 
 
 class Ledger:
