@@ -5,7 +5,9 @@ file; ``read_archives`` reads such rows, or real files through Spark's
 ``binaryFile`` source (``read_files``), so every store that Spark reaches will do.
 
 The reader never inflates more than one record: it feeds a decompressor block by
-block, frames the record by its Content-Length, and checks the payload's digest.
+block, frames the record by its Content-Length, and checks the payload's digest. A
+revisit has no payload; ``verified`` compares what it says with the record it refers to,
+as that was read.
 
 Cases: null html is an empty payload; a null page_id is kept as null; rows that
 repeat a page_id each get a record; of equal payloads of at least
@@ -20,6 +22,7 @@ import base64
 import hashlib
 import zlib
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -37,7 +40,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 RECORD_TYPE = (
     "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
-    "refers_to long, payload binary, digest_ok boolean"
+    "refers_to long, payload binary, digest_ok boolean, date string"
 )
 
 
@@ -72,11 +75,12 @@ def with_record_types(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> D
     )
 
 
-def _block(page: dict) -> tuple[list[tuple[str, str]], bytes]:
+def _block(page: dict, date: str) -> tuple[list[tuple[str, str]], bytes]:
     """Headers and content of one record."""
     digest = base64.b32encode(bytes.fromhex(page["payload_digest"])).decode()
     head = [
         ("WARC-Type", page["record_type"]),
+        ("WARC-Date", date),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("WARC-Payload-Length", str(page["payload_bytes"])),
     ]
@@ -93,23 +97,27 @@ def _block(page: dict) -> tuple[list[tuple[str, str]], bytes]:
     return head, b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n\r\n" + page["payload"]
 
 
-def record_member(page: dict) -> bytes:
+def record_member(page: dict, date: str) -> bytes:
     """One record as one gzip member."""
-    head, content = _block(page)
+    head, content = _block(page, date)
     lines = "".join(f"{k}: {v}\r\n" for k, v in [*head, ("Content-Length", str(len(content)))])
     packer = zlib.compressobj(6, zlib.DEFLATED, GZIP)
     record = b"".join((VERSION, b"\r\n", lines.encode(), b"\r\n", content, b"\r\n\r\n"))
     return packer.compress(record) + packer.flush()
 
 
-def write_archives(records: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """One row per archive: its bytes. A record is never split."""
+def write_archives(records: DataFrame, archive_bytes: int = ARCHIVE_BYTES, date: str | None = None) -> DataFrame:
+    """One row per archive: its bytes. A record is never split.
+
+    ``date`` is the records' time in the format's form; without it the time of this call.
+    """
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
-                member = record_member({c: batch.column(c)[i].as_py() for c in batch.schema.names})
+                member = record_member({c: batch.column(c)[i].as_py() for c in batch.schema.names}, date)
                 if held and size + len(member) > archive_bytes:
                     yield pa.RecordBatch.from_pydict({"content": [b"".join(held)]})
                     held, size = [], 0
@@ -187,13 +195,14 @@ def _parsed(head: dict[str, str], body: bytes) -> dict:
         "record_type": kind,
         "refers_to": _page_number(head.get("warc-refers-to")),
         "payload": None if kind == "revisit" else payload,
-        # A revisit has no payload of its own to compare.
-        "digest_ok": kind == "revisit" or hashlib.sha1(payload).hexdigest() == digest,
+        # A revisit has no payload of its own; ``verified`` looks at the one it refers to.
+        "digest_ok": None if kind == "revisit" else hashlib.sha1(payload).hexdigest() == digest,
+        "date": head.get("warc-date"),
     }
 
 
 def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
-    """The records of the rows in ``content``, digests verified."""
+    """The records of the rows in ``content``; ``digest_ok`` is null for revisits (see ``verified``)."""
     schema = RECORD_TYPE if with_payload else RECORD_TYPE.replace("payload binary, ", "")
     names = [c.strip().split()[0] for c in schema.split(",")]
     types = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "refers_to": pa.int64(),
@@ -216,12 +225,30 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     return arrow_map(archives.select("content"), task, schema)
 
 
+def verified(records: DataFrame) -> DataFrame:
+    """The records with ``digest_ok`` of revisits too.
+
+    A revisit is right if a response with the page_id it refers to was read whose payload
+    has the digest and the length that the revisit says. Records are read from a table
+    that is written, without payloads. Rows that repeat a page_id count as one response
+    if any of them fits.
+    """
+    narrow = saved(records.drop("payload"), "warc-records")
+    response = narrow.where("record_type <> 'revisit' and digest_ok").select(
+        F.col("page_id").alias("at"), F.col("payload_digest").alias("held"), F.col("payload_bytes").alias("size")
+    ).distinct()
+    revisit = narrow.where("record_type = 'revisit'")
+    fits = (F.col("refers_to") == F.col("at")) & (F.col("payload_digest") == F.col("held")) & (F.col("payload_bytes") == F.col("size"))
+    checked = revisit.join(response, fits, "left").withColumn("digest_ok", F.col("at").isNotNull()).select(*narrow.columns)
+    return narrow.where("record_type is null or record_type <> 'revisit'").unionByName(checked)
+
+
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Records of the archive files below a path."""
+    """Records of the archive files below a path; a file is one cell, so of less than 2 GB and a task's memory."""
     return read_archives(spark.read.format("binaryFile").load(path))
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
     """Every page's record as it comes back from written archives."""
     archives = saved(write_archives(with_record_types(pages)), "warc")
-    return read_archives(archives, with_payload=False)
+    return verified(read_archives(archives, with_payload=False))

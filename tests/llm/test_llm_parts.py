@@ -15,6 +15,9 @@ from sensorgrid.llm import bpe, langid, line_dedup, suffix_dedup, textscan, warc
 from sensorgrid.llm.queries import vocabulary_path
 
 
+DATE = "2024-01-01T00:00:00Z"
+
+
 @pytest.fixture(scope="module")
 def encoder():
     with open(vocabulary_path(), encoding="utf-8") as f:
@@ -103,21 +106,22 @@ def _page(n: int, html: bytes, **other) -> dict:
 
 def test_archive_is_one_gzip_member_per_record():
     pages = [_page(1, b"<a>" * 50000), _page(2, b""), _page(3, b"\r\n\r\nx"), _page(4, b"q", record_type="revisit", refers_to=1)]
-    members = [warc.record_member(p) for p in pages]
+    members = [warc.record_member(p, DATE) for p in pages]
     for member in members:
         assert gzip.decompress(member).startswith(b"WARC/1.1\r\n")
     back = list(warc.sequential_records(b"".join(members)))
     assert [r["page_id"] for r in back] == [1, 2, 3, 4]
     assert [r["payload"] for r in back] == [b"<a>" * 50000, b"", b"\r\n\r\nx", None]
     assert [r["url"] for r in back] == [p["url"] for p in pages]
-    assert back[3]["refers_to"] == 1 and all(r["digest_ok"] for r in back)
+    assert back[3]["refers_to"] == 1 and [r["digest_ok"] for r in back] == [True] * 3 + [None]
+    assert {r["date"] for r in back} == {DATE}
     # A whole file in one member is read as well.
     one = gzip.compress(b"".join(gzip.decompress(m) for m in members))
     assert [r["page_id"] for r in warc.sequential_records(one)] == [1, 2, 3, 4]
 
 
 def test_reader_finds_damage():
-    good = gzip.decompress(warc.record_member(_page(1, b"payload")))
+    good = gzip.decompress(warc.record_member(_page(1, b"payload"), DATE))
     changed = gzip.compress(good.replace(b"payload\r\n", b"paYload\r\n"))
     assert [r["digest_ok"] for r in warc.sequential_records(changed)] == [False]
     with pytest.raises(ValueError):
