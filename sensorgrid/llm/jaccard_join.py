@@ -34,8 +34,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sensorgrid.llm.bitmap import bitmap, in_bitmap
-from sensorgrid.llm.common import arrow_map, saved, text_digest
+from sensorgrid.llm.bitmap import bitmap, fitting, in_bitmap
+from sensorgrid.llm.common import arrow_map, discard, fresh, saved, text_digest
 from sensorgrid.llm.components import components
 from sensorgrid.llm.textscan import (
     LOWER, SPACE, mix, pieces, prefix_hash, rows_of, runs, segment_counts, shingle_hash, span_hash,
@@ -177,7 +177,9 @@ def set_arrays(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS) ->
 
     The rows are picked where their texts lie, so neither texts nor other sets are moved.
     """
-    held = docs.sparkSession.sparkContext.broadcast(bitmap(wanted))
+    wanted = saved(wanted, "jaccard-wanted")
+    held = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, fitting(wanted.count())))
+    discard(wanted)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,6 +222,7 @@ class Join:
             "jaccard-points",
         )
         self.tokens = filled.select("class", F.explode("prefix").alias("token"))
+        self.temporary: list[DataFrame] = []
 
     def may_link(self, n1: Column, n2: Column, overlap: Column) -> Column:
         """Whether sets of these sizes that share ``overlap`` tokens are similar."""
@@ -238,10 +241,14 @@ class Join:
         star = met.groupBy("class").agg(
             F.array(F.max(F.struct("n", "leader"))["leader"], F.min("leader")).alias("leaders")
         )
+        discard(leaders)
         first = self.verified(star.select(F.explode(F.array_distinct("leaders")).alias("a"), F.col("class").alias("b")))
         group = saved(components(first), "jaccard-groups")
-        rest = self.across(shared, group)
-        return first.unionByName(self.verified(rest))
+        rest = saved(self.across(shared, group), "jaccard-pairs")
+        discard(shared, group, *self.temporary)
+        found = first.unionByName(self.verified(rest))
+        discard(rest)
+        return found
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are similar: by size, by group counts, then by the sets."""
@@ -262,7 +269,9 @@ class Join:
             sets[side] = set_arrays(self.docs, wanted, self.size).withColumnsRenamed({"class": side, "members": f"s{side}"})
         overlap = F.size(F.array_intersect("sa", "sb"))
         linked = near.join(sets["b"], "b").join(sets["a"], "a").where(self.may_link(F.col("na"), F.col("nb"), overlap))
-        return saved(linked.select("a", "b").distinct(), "jaccard-links")
+        linked = saved(linked.select("a", "b").distinct(), "jaccard-links")
+        discard(near)
+        return linked
 
     def across(self, shared: DataFrame, group: DataFrame) -> DataFrame:
         """Pairs of classes that share a token, are of different components and may be similar.
@@ -281,6 +290,7 @@ class Join:
             named.join(mixed, "token").distinct().join(self.point.select("class", "n", "groups"), "class"), "jaccard-entries"
         )
         sizes = saved(entry.groupBy("token").agg(F.count("*").alias("rows")), "jaccard-sizes")
+        self.temporary += [mixed, entry, sizes]
         small, large = sizes.where(F.col("rows") <= PAGE_ROWS), sizes.where(F.col("rows") > PAGE_ROWS)
         one = entry.join(small.select("token"), "token").groupBy("token").agg(self._rows().alias("rows1"))
         one = one.withColumn("rows2", F.col("rows1"))
@@ -318,6 +328,7 @@ class Join:
         fill = saved(
             entry.groupBy("token", "band", "side").agg(F.ceil(F.count("*") / PAGE_ROWS).alias("pages")), "jaccard-fill"
         )
+        self.temporary.append(fill)
         place = F.xxhash64("token", "band", "side", F.pmod(F.xxhash64("class"), F.col("pages")))
         largest = [F.max(F.col("groups")[g]).alias(f"g{g}") for g in range(GROUPS)]
         pages = saved(
@@ -330,6 +341,7 @@ class Join:
             .withColumn("top", F.array(*[f"g{g}" for g in range(GROUPS)])).drop(*[f"g{g}" for g in range(GROUPS)]),
             "jaccard-pages",
         )
+        self.temporary.append(pages)
         one = pages.withColumnsRenamed({c: f"{c}1" for c in pages.columns if c != "token"})
         two = pages.withColumnsRenamed({c: f"{c}2" for c in pages.columns if c != "token"})
         least, most = F.col("least1") + F.col("least2"), minima(F.col("top1"), F.col("top2"))
@@ -344,15 +356,18 @@ class Join:
     def grouped(self) -> DataFrame:
         """(doc_id, digest, n, component) of every row; component is a class, null for empty sets."""
         group = saved(components(self.links()), "jaccard-components")
-        return self.rows.join(group, self.rows["class"] == group["node"], "left").select(
+        rows = self.rows.join(group, self.rows["class"] == group["node"], "left").select(
             "doc_id", "digest", "n",
             F.when(F.col("n") > 0, F.coalesce("component", "class")).alias("component"),
         )
+        rows = saved(rows, "jaccard-grouped")
+        discard(self.rows, self.point, group)
+        return rows
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    rows = saved(Join(docs, size).grouped(), "jaccard-grouped")
+    rows = Join(docs, size).grouped()
     first = saved(
         rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id")), "jaccard-first"
     )
@@ -362,8 +377,11 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, similar: int = SIMILAR, of: int = OF) -> DataFrame:
-    """One document of each group, that with the smallest doc_id; documents without words stay."""
-    rows = saved(Join(docs, size, similar, of).grouped().where("component is not null"), "jaccard-grouped")
+    """One document of each group, that with the smallest doc_id; documents without words stay.
+
+    Of rows equal in doc_id and text one stays, any of them where other columns differ.
+    """
+    rows = Join(docs, size, similar, of).grouped().where("component is not null")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
     kept = saved(rows.groupBy("component").agg(F.min(order).alias("kept")), "jaccard-kept")
     keys = rows.join(kept, "component").where(order != F.col("kept"))
@@ -372,14 +390,15 @@ def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, similar: int = SIMILAR,
         rows.groupBy("doc_id", "digest").agg(F.count("*").alias("times")).where("times > 1").select("doc_id", "digest"),
         "jaccard-repeats",
     )
-    marked = docs.withColumns({"q10_id": F.col("doc_id").cast("long"), "q10_digest": text_digest()})
-    drop = drop.toDF("d_id", "d_digest")
-    left = marked.join(drop, marked["q10_id"].eqNullSafe(drop["d_id"]) & (marked["q10_digest"] == drop["d_digest"]), "left_anti")
+    id_, text, *names = fresh(docs, "doc_number", "text_digest", "drop_id", "drop_digest", "twice_id", "twice_digest")
+    marked = docs.withColumns({id_: F.col("doc_id").cast("long"), text: text_digest()})
+    drop = drop.toDF(*names[:2])
+    left = marked.join(drop, marked[id_].eqNullSafe(drop[names[0]]) & (marked[text] == drop[names[1]]), "left_anti")
     if not repeats.isEmpty():
         # Whole copies of the document that stays: one row of them does.
-        twice = repeats.toDF("r_id", "r_digest")
-        is_twice = left["q10_id"].eqNullSafe(twice["r_id"]) & (left["q10_digest"] == twice["r_digest"])
+        twice = repeats.toDF(*names[2:])
+        is_twice = left[id_].eqNullSafe(twice[names[2]]) & (left[text] == twice[names[3]])
         left = left.join(twice, is_twice, "left_anti").unionByName(
-            left.join(twice, is_twice, "left_semi").dropDuplicates(["q10_id", "q10_digest"])
+            left.join(twice, is_twice, "left_semi").dropDuplicates([id_, text])
         )
     return left.select(*docs.columns)
