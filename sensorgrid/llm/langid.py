@@ -4,9 +4,9 @@ Training counts the letter trigrams of every labelled training document per lang
 (all of them, no sample). A word's likelihood under a language is the product of its
 trigrams' smoothed frequencies. A document is a mixture: expectation-maximisation
 finds the proportions of the languages that explain its words best, first over all
-languages, then over the one, two, ... largest; the set with the best likelihood after
-a penalty for each further language is the document's, and the largest of it its
-language.
+languages, then over the one, two, ... largest, as long as a further one adds more than
+its penalty; the set with the best penalised likelihood is the document's, and the
+largest of it its language.
 
 The model is ``languages x buckets`` numbers. Buckets shrink with the number of
 languages so that it never has more than ``MODEL_CELLS``, whatever the corpus; that
@@ -15,8 +15,8 @@ bound is what allows to broadcast it.
 Cases: a text that is null or has no letter is ``und`` with score 0; without any
 training document everything is; a null doc_id has no remainder, is not held out and
 not learned from; null lang is not learned from; rows that repeat count again; ties go
-to the language that sorts first; an empty table gives no rows; other columns are not
-looked at.
+to the language that sorts first; texts of any length are read whole, one by one where
+they are long; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -31,10 +31,11 @@ from sensorgrid.llm.common import arrow_map
 from sensorgrid.llm.textscan import LOWER, pieces, rows_of, runs
 
 BUCKETS = 1 << 16
-MODEL_CELLS = 1 << 25
+MODEL_CELLS = 1 << 23
 SMOOTHING = 0.1
 ROUNDS = 8
-MAX_SET = 3
+#: Sizes that are tried in any case; beyond, a document is done when a further language adds nothing.
+LEAST_SIZES = 3
 #: What a further language must add to the log-likelihood, times log(words).
 PENALTY = 6.0
 FOLDS, HELD_OUT = 4, 2
@@ -132,14 +133,18 @@ def mixtures(model: Model, data: np.ndarray, at: np.ndarray) -> list[tuple[list[
     words = np.diff(np.append(heads, len(row)))
     share, _ = proportions(weight, heads, words)
     order = np.argsort(-share, axis=1, kind="stable")
-    sizes = range(1, min(MAX_SET, len(model.languages)) + 1)
     best, size = np.full(len(heads), -np.inf), np.zeros(len(heads), np.int64)
-    for k in sizes:
-        chosen = np.take_along_axis(weight, np.repeat(order[:, :k], words, axis=0), 1)
-        _, likelihood = proportions(chosen, heads, words, ROUNDS if k > 1 else 0)
-        value = likelihood - (k - 1) * PENALTY * np.log(words + 1)
-        better = value > best
-        best[better], size[better] = value[better], k
+    going, k = np.arange(len(heads)), 0
+    while len(going) and k < len(model.languages):
+        k += 1
+        mine = np.repeat(np.isin(np.arange(len(heads)), going), words)
+        own = words[going]
+        chosen = np.take_along_axis(weight[mine], np.repeat(order[going, :k], own, axis=0), 1)
+        _, likelihood = proportions(chosen, np.cumsum(own) - own, own, ROUNDS if k > 1 else 0)
+        value = likelihood - (k - 1) * PENALTY * np.log(own + 1)
+        better = value > best[going]
+        best[going[better]], size[going[better]] = value[better], k
+        going = going[better | (k < LEAST_SIZES)]
     for i, r in enumerate(row[heads]):
         out[r] = order[i, : size[i]].tolist(), share[i]
     return out
@@ -151,12 +156,14 @@ def train(labelled: DataFrame) -> Model | None:
     if not languages:
         return None
     buckets = min(BUCKETS, 1 << (max(2, MODEL_CELLS // languages).bit_length() - 1))
-    rows = trigram_counts(labelled, buckets).collect()  # languages x buckets rows at most
-    names = sorted({r["lang"] for r in rows})
+    rows = trigram_counts(labelled, buckets).toArrow()  # languages x buckets rows at most
+    names = sorted(set(rows.column("lang").unique().to_pylist()))
     counts = np.zeros((len(names), buckets))
-    place = {n: i for i, n in enumerate(names)}
-    for r in rows:
-        counts[place[r["lang"]], r["bucket"]] = r["n"]
+    coded = rows.column("lang").combine_chunks().dictionary_encode()
+    if isinstance(coded, pa.ChunkedArray):
+        coded = coded.combine_chunks()
+    place = np.array([names.index(x) for x in coded.dictionary.to_pylist()], np.int64)
+    counts[place[coded.indices.to_numpy()], rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
     return Model(names, counts) if names else None
 
 

@@ -9,15 +9,17 @@ Where there is no spread at all, the quartile is the fence. Fixed cutoffs are on
 in the base rule. Sketches are counts in logarithmic buckets: merging is adding, so
 partial sketches of tasks, groups or days combine in any order to the same result, a
 retried task changes nothing, and a quantile is within ``ACCURACY`` of the true one.
-A group too small for quartiles takes those of its language, and a language too small
-those of all documents, which are merges of the same sketches.
+The fences of a group of n documents count n parts and those of its language ``BLEND``
+parts, and a language's are blended with those of all documents likewise, so a small
+group has its language's fences, a large one its own, and none jumps as it grows. The
+wider groups' sketches are merges of the same ones.
 
 Thresholds are written as a table, whose size Spark knows: it is broadcast to the
 documents if it is small; if not, a sort-merge join splits hot sources.
 
 Cases: null or empty text has no words and fails the base rule; null lang or source is
-a group of its own; rows that repeat are judged alike; ties with a fence are kept; an
-empty table gives no rows; columns of the input with other names are carried by
+a group of its own; rows that repeat are judged alike; ties with a fence are kept; very
+long texts are counted whole; an empty table gives no rows; columns of the input with other names are carried by
 ``keep_good`` and not looked at.
 """
 
@@ -30,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from sensorgrid.llm.common import arrow_map, saved
+from sensorgrid.llm.common import arrow_map, saved, set_aside
 from sensorgrid.llm.textscan import (
     SPACE, mix, pieces, prefix_hash, rows_of, runs, segment_counts, shingle_hash, span_hash,
 )
@@ -39,7 +41,8 @@ WINDOW_WORDS = 5
 SYMBOLS = "#*$%&|<>"
 ACCURACY = 0.01
 GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
-MIN_GROUP = 100
+#: Documents of a group that weigh as much as the wider group it belongs to.
+BLEND = 20
 FENCE = 3.0
 #: Shares of a group beyond a quantile that its spread is taken from.
 TAILS = (0.1, 0.05, 0.01)
@@ -198,8 +201,10 @@ def thresholds(sketches: DataFrame) -> DataFrame:
     joined = own.join(
         language, own["lang"].eqNullSafe(language["l_lang"]) & (own["signal"] == language["l_signal"])
     ).join(whole, F.col("signal") == F.col("w_signal"))
-    pick = lambda side: F.when(F.col("documents") >= MIN_GROUP, F.col(side)).when(
-        F.col("ld") >= MIN_GROUP, F.col(f"l_{side}")).otherwise(F.col(f"w_{side}"))
+    blend = lambda own, n, wide: (own * F.col(n) + wide * BLEND) / (F.col(n) + BLEND)
+    pick = lambda side: blend(
+        F.col(side), "documents", blend(F.col(f"l_{side}"), "ld", F.col(f"w_{side}"))
+    )
     picked = joined.select("lang", "source", "signal", pick("low").alias("low"), pick("high").alias("high"))
     return picked.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("signal") == s, F.col(side))).alias(f"q5_{side}_{s}")
@@ -244,4 +249,6 @@ def keep_good(docs: DataFrame) -> DataFrame:
     Counts are taken again rather than joined, so texts are not shuffled.
     """
     fences = _fences(with_counts(docs.select("text", "lang", "source")).drop("text"))
-    return _judged(with_counts(docs), fences).where("q5_kept").select(*docs.columns)
+    # Columns named as the counts and fences step aside meanwhile.
+    named, back = set_aside(docs, "q5_")
+    return _judged(with_counts(named), fences).where("q5_kept").select(*back)
