@@ -15,7 +15,8 @@ once. Only built-in functions are used.
 
 Cases: null text has no words; an item without words matches nothing; an item without an
 id is looked for, and its words are hits, but it is not listed; an item of fewer
-words than a shingle is looked for as a whole; equal texts have equal results, as have
+words than a shingle is looked for as a whole; texts of any length are looked through
+whole; equal texts have equal results, as have
 rows that repeat; empty tables give no rows, or documents without hits; other columns
 are not looked at.
 """
@@ -26,12 +27,12 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sensorgrid.llm.common import saved, text_digest
+from sensorgrid.llm.common import saved, set_aside, text_digest
 
 WINDOW_WORDS = 13
 SHINGLE_WORDS = 5
 MAX_BROADCAST_ROWS = 1_000_000
-MAX_BROADCAST_WINDOWS = 50_000
+MAX_BROADCAST_BYTES = 16 << 20
 #: A document is contaminated if hit words are at least one in so many.
 HIT_SHARE = 20
 # Fixed value: what a word is, after lower-casing.
@@ -150,12 +151,15 @@ def candidates(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def with_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows with ``q2_words`` and ``q2_hit``, numbers of words, and ``q2_items``, a sorted list.
 
-    Candidates are written and counted: they may be broadcast to the texts if they are
-    few; if not, texts are shuffled once, and those with many copies are split.
+    Candidates are written and measured: they may be broadcast to the texts up to
+    ``MAX_BROADCAST_BYTES``; if there are more, texts are shuffled once, and those with many copies are split.
     """
     found = candidates(docs, benchmark)
-    # A small file can hold many equal windows; what counts is how many there are.
-    if (found.agg(F.sum(F.size("q2_found"))).first()[0] or 0) > MAX_BROADCAST_WINDOWS:
+    # A small file can hold many equal windows; what counts is what they are in memory.
+    one = lambda c: 32 + 16 * F.size(c["window"]) + F.octet_length(F.array_join(c["window"], "")) + F.octet_length(
+        F.array_join(c["items"], "")) + 16 * F.size(c["items"])
+    size = F.aggregate("q2_found", F.lit(0).cast("long"), lambda n, c: n + one(c))
+    if (found.agg(F.sum(size)).first()[0] or 0) > MAX_BROADCAST_BYTES:
         found = found.hint("merge")
     marked = docs.withColumn("q2_key", _digest())
     marked = marked.join(found, marked["q2_key"] == found["q2_digest"], "left").withColumn("q2_w", words())
@@ -198,4 +202,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, as they came."""
-    return with_hits(docs, benchmark).where(~contaminated()).select(*docs.columns)
+    named, back = set_aside(docs, "q2_")
+    return with_hits(named, benchmark).where(~contaminated()).select(*back)
