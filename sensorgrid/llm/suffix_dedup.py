@@ -37,8 +37,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sensorgrid.llm.bitmap import bitmap, in_bitmap
-from sensorgrid.llm.common import arrow_map, saved
+from sensorgrid.llm.bitmap import bitmap, fitting, in_bitmap
+from sensorgrid.llm.common import arrow_map, discard, saved
 from sensorgrid.llm.textscan import pieces, prefix_hash, span_hash
 
 LENGTH = 400
@@ -121,6 +121,7 @@ class Dedup:
     def __init__(self, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> None:
         self.docs, self.length, self.gram, self.group_rows = docs, length, gram, group_rows
         self.text = _keyed(docs)
+        self.temporary: list[DataFrame] = []
 
     def repeated_grams(self) -> DataFrame:
         length, gram = self.length, self.gram
@@ -137,7 +138,9 @@ class Dedup:
     def places(self) -> DataFrame:
         """(gram, context, size, key, start) of the anchors whose gram repeats."""
         length, gram = self.length, self.gram
-        held = self.text.sparkSession.sparkContext.broadcast(bitmap(self.repeated_grams()))
+        grams = saved(self.repeated_grams(), "suffix-repeated")
+        held = self.text.sparkSession.sparkContext.broadcast(bitmap(grams, fitting(grams.count())))
+        discard(grams)
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -162,7 +165,7 @@ class Dedup:
     def cut_out(self, chosen: DataFrame) -> DataFrame:
         """(lead, gram, context, bytes) of the places in ``chosen``, and of few others."""
         length, gram = self.length, self.gram
-        held = self.text.sparkSession.sparkContext.broadcast(bitmap(_occurrence_numbers(chosen)))
+        held = self.text.sparkSession.sparkContext.broadcast(bitmap(_occurrence_numbers(chosen), fitting(chosen.count())))
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -191,7 +194,10 @@ class Dedup:
         return arrow_map(self.text, task, "lead long, gram long, context long, bytes binary")
 
     def compared(self, cuts: DataFrame) -> DataFrame:
-        """(gram, context, start, stop): the stretches of contexts whose strings repeat."""
+        """(gram, context, start, stop): the stretches of contexts whose strings repeat.
+
+        ``self.temporary`` has the tables that these are read from.
+        """
         order = ["lead", "gram", "context"]
         n = max(1, int(cuts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         placed = cuts.repartitionByRange(n, *order).sortWithinPartitions(*order)
@@ -209,6 +215,7 @@ class Dedup:
             .where("lo != hi").select("string"),
             "suffix-again",
         )
+        self.temporary += [first, counts, strings, again]
         found = ["gram", "context", "start", "stop"]
         return (
             first.where("bytes is null").select(*found)
@@ -245,8 +252,8 @@ class Dedup:
             places.groupBy("gram", "context", "size").agg(F.min(here).alias("one"), F.max(here).alias("other")),
             "suffix-contexts",
         )
-        several = kinds.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-        chosen = saved(kinds.join(saved(several, "suffix-grams"), "gram").select("gram", "context", "one"), "suffix-chosen")
+        several = saved(kinds.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "suffix-grams")
+        chosen = saved(kinds.join(several, "gram").select("gram", "context", "one"), "suffix-chosen")
         parts = self.compared(self.cut_out(chosen))
         whole = kinds.where("one != other").select("gram", "context", F.lit(0).alias("start"), F.col("size").alias("stop"))
         spans = saved(
@@ -255,6 +262,7 @@ class Dedup:
             ),
             "suffix-spans",
         )
+        discard(kinds, several, chosen, *self.temporary)
         copies = (
             self.text.groupBy("key").agg(F.count("*").alias("n"), F.first(F.octet_length("text")).alias("size"))
             .where((F.col("n") > 1) & (F.col("size") >= self.length))
@@ -262,11 +270,14 @@ class Dedup:
         )
         moved = places.join(spans, ["gram", "context"]).select("key", F.col("start").alias("at"), F.explode("spans").alias("s"))
         moved = moved.select("key", (F.col("at") + F.col("s.start")).alias("start"), (F.col("at") + F.col("s.stop")).alias("stop"))
-        return moved.unionByName(copies).groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+        found = moved.unionByName(copies).groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+        found = saved(found, "suffix-intervals")
+        discard(places, spans)
+        return found
 
     def removed(self) -> DataFrame:
         """doc_id, key, text and the spans to remove, null where there are none."""
-        spans = saved(self.intervals(), "suffix-intervals").withColumnRenamed("key", "span_key")
+        spans = self.intervals().withColumnRenamed("key", "span_key")
         text = F.coalesce(F.col("text").cast("string"), F.lit(""))
         keyed = self.docs.select(
             F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
@@ -390,7 +401,7 @@ def _cut(data: bytes, spans: list[dict] | None) -> tuple[int, int, bytes]:
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS,
                    with_bytes: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document (and ``kept``)."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, has_repeats of every document (and ``kept``)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -401,10 +412,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
                 rows.append((len(data), gone, runs, hashlib.sha256(kept).hexdigest(), kept))
             size, gone, runs, digest, kept = zip(*rows) if rows else ((),) * 5
             columns = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in (size, gone, runs)), pa.array(digest, pa.string())]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            columns.append(pa.array([n > 0 for n in gone], pa.bool_()))
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "has_repeats"]
             if with_bytes:
                 columns, names = [*columns, pa.array(kept, pa.binary())], [*names, "kept"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, has_repeats boolean"
     return arrow_map(Dedup(docs, length, gram, group_rows).removed(), task, schema + (", kept binary" if with_bytes else ""))
