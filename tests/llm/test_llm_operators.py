@@ -12,6 +12,7 @@ import zlib
 
 import brute
 import pytest
+from brute_lines import expected_drops, found_drops, without
 from oracle_check import compare, connect
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHES = [
     "digest", "key", "class", "n", "groups", "prefix", "token", "line", "number", "simhash", "w", "pos", "node", "block",
     "component", "gram", "context", "start", "spans", "found", "blob", "path", "content", "size", "shard", "slot", "tie",
+    "q1_numbers", "q2_hit", "q2_words", "q5_n_words", "q5_kept", "q5_low_word_length", "q10_id", "line_numbers", "drop_id",
     "n_words", "n_hit", "kept", "low", "high", "bucket", "signal", "has_letter", "payload", "response_id",
 ]
 
@@ -103,64 +105,29 @@ def _same(frame, columns, want) -> None:
 
 # Lines
 
-def _line_keys(rows):
-    return sorted({(i is None, i or 0, t or "") for i, t in rows}, key=lambda r: (r[0], r[1], line_dedup_digest(r[2])))
-
-
-def line_dedup_digest(text: str) -> int:
-    import xxhash
-
-    value = xxhash.xxh64(text.encode(), seed=42).intdigest()
-    return value - (1 << 64) if value >> 63 else value
-
-
-def _expected_lines(rows) -> list[tuple]:
-    """By all pairs of lines that have close hashes."""
-    import numpy as np
-
-    seen: dict[str, list] = {}
-    hashes: dict[str, int] = {}
-    for none, i, text in _line_keys(rows):
-        data = text.encode()
-        found = line_dedup.Lines(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
-        hash_of = dict(zip(found.number.tolist(), found.simhash().tolist()))
-        for number, line in enumerate(text.split("\n")):
-            normal = brute.normal_line(line)
-            if len(normal.split(" ")) >= line_dedup.MIN_WORDS:
-                seen.setdefault(normal, []).append((none, i, line_dedup_digest(text), number))
-                hashes[normal] = hash_of[number]
-    names = list(seen)
-    groups = brute.Groups(len(names))
-    for a, x in enumerate(names):
-        for b in range(a):
-            if (hashes[x] ^ hashes[names[b]]).bit_count() <= line_dedup.DISTANCE and line_dedup.similar(x, names[b]):
-                groups.join(a, b)
-    together: dict[int, list] = {}
-    for a, x in enumerate(names):
-        together.setdefault(groups.find(a), []).extend(seen[x])
-    drop = {o for members in together.values() for o in members if o != min(members)}
+LINE_COLUMNS = ["doc_id", "n_lines", "n_dropped", "kept_sha256"]
+
+
+def _lines_without(rows, drops) -> list[tuple]:
     out = []
     for i, text in rows:
-        key = (i is None, i or 0, line_dedup_digest(text or ""))
-        lines = (text or "").split("\n")
-        gone = {n for n in range(len(lines)) if (*key, n) in drop}
-        kept = "\n".join(x for n, x in enumerate(lines) if n not in gone)
-        out.append((i, 0 if text is None else len(lines), len(gone), brute.sha256(kept)))
+        n, gone, kept = without(i, text, drops)
+        out.append((i, n, gone, brute.sha256(kept)))
     return out
 
 
-LINE_COLUMNS = ["doc_id", "n_lines", "n_dropped", "kept_sha256"]
-
-
-def test_lines(docs, rows, empty):
-    want = _expected_lines(rows)
-    assert sum(r[2] for r in want) > 10
-    _same(line_dedup.dedup_lines(docs), LINE_COLUMNS, want)
+def test_lines(spark, docs, rows, empty):
+    drops = found_drops(docs.select("doc_id", "text"))
+    assert drops == expected_drops(spark, rows) and len(drops) > 10
+    _same(line_dedup.dedup_lines(docs), LINE_COLUMNS, _lines_without(rows, drops))
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
 def test_lines_of_the_table(spark, sf_dir, small):
-    _same(QUERIES["op1_fuzzy_line_dedup"](spark, sf_dir), LINE_COLUMNS, _expected_lines(small))
+    drops = found_drops(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    want = expected_drops(spark, [tuple(r) for r in small])
+    assert drops <= want and len(drops) >= 0.98 * len(want) > 0
+    _same(QUERIES["op1_fuzzy_line_dedup"](spark, sf_dir), LINE_COLUMNS, _lines_without(small, drops))
 
 
 def test_drop_lines_keeps_columns_and_rows(docs, rows):
@@ -194,6 +161,7 @@ def test_contamination_without_broadcast(spark, docs, monkeypatch):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     want = decontamination.decontaminate(docs, items).collect()
     monkeypatch.setattr(decontamination, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(decontamination, "MAX_BROADCAST_BYTES", 0)
     assert _sorted(decontamination.decontaminate(docs, items).collect()) == _sorted(want)
 
 
@@ -222,11 +190,27 @@ def test_archives(spark):
     assert warc.archive_round_trip(frame.limit(0)).count() == 0
 
 
+def test_wrong_revisits_are_found(spark):
+    page = {"url": "u", "payload": b"abc", "payload_bytes": 3, "record_type": "response", "refers_to": None,
+            "payload_digest": "a9993e364706816aba3e25717850c26c9cd0d89d"}
+    revisit = page | {"record_type": "revisit"}
+    records = [
+        page | {"page_id": 1}, revisit | {"page_id": 2, "refers_to": 1}, revisit | {"page_id": 3, "refers_to": 2},
+        revisit | {"page_id": 4, "refers_to": 99}, revisit | {"page_id": 5, "refers_to": 1, "payload_bytes": 4},
+        revisit | {"page_id": 6, "refers_to": 1, "payload_digest": "0" * 40},
+        page | {"page_id": 7, "payload": b"abd"}, revisit | {"page_id": 8, "refers_to": 7}, revisit | {"page_id": 9, "refers_to": 1},
+    ]
+    members = [(warc.record_member(r, "2024-01-01T00:00:00Z"),) for r in records]
+    got = warc.verified(warc.read_archives(spark.createDataFrame(members, "content binary"))).collect()
+    assert {r["page_id"] for r in got if r["digest_ok"]} == {1, 2, 9} and len(got) == len(records)
+
+
 def test_archive_files(spark, tmp_path):
     page = {"page_id": 1, "url": "u", "payload": b"abc", "payload_bytes": 3, "record_type": "response", "refers_to": None,
             "payload_digest": "a9993e364706816aba3e25717850c26c9cd0d89d"}
-    (tmp_path / "a.warc.gz").write_bytes(b"".join(warc.record_member(page | {"page_id": k}) for k in range(5)))
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(warc.record_member(page | {"page_id": k}, "2024-01-01T00:00:00Z") for k in range(5)))
     got = warc.read_files(spark, str(tmp_path)).orderBy("page_id").collect()
+    assert {r["date"] for r in got} == {"2024-01-01T00:00:00Z"}
     assert [r["page_id"] for r in got] == list(range(5)) and all(bytes(r["payload"]) == b"abc" and r["digest_ok"] for r in got)
 
 
@@ -511,8 +495,9 @@ def test_pipeline(spark, sf_dir, docs, small):
             good = {r["doc_id"] for r in quality.quality(held).where("kept").collect()}
             assert set(after) == good
         elif k == 1:
-            for i, _, _, digest in _expected_lines(before):
-                assert brute.sha256(after[i] or "") == digest
+            drops, every = found_drops(held), expected_drops(spark, before)
+            assert drops <= every and len(drops) >= 0.98 * len(every) > 0
+            assert all((after[i] or "") == without(i, text, drops)[2] for i, text in before)
         elif k == 2:
             sizes, groups = brute.jaccard_groups([t for _, t in before], 5, 80, 100)
             first = {}
