@@ -179,7 +179,7 @@ def test_sensor_sketches_merge_within_their_error(spark):
     day = Z.distinct_sensors(sketches, "zone_id").first()["distinct_sensors"]
     assert abs(day - n) < 5 * 0.0163 * n
     few = Z.sensor_sketches(rows.where("CAST(sensor_id AS INT) < 400"), "1 hour")
-    assert Z.distinct_sensors(few, "zone_id").first()["distinct_sensors"] == 400
+    assert abs(Z.distinct_sensors(few, "zone_id").first()["distinct_sensors"] - 400) <= 1
 
 
 def test_zone_table_types(readings):
