@@ -236,6 +236,15 @@ def distinct_sensors(sketches: DataFrame, *by: str | Column) -> DataFrame:
     return sketches.groupBy(*by).agg(merged.cast("bigint").alias("distinct_sensors"))
 
 
+def counted_sensors(sensors: DataFrame, *by: str | Column) -> DataFrame:
+    """``distinct_sensors`` per ``by``, exactly, from rows that name a sensor each.
+
+    Rows may repeat, such as versions of a changelog. Repeats go before the shuffle, and a
+    group of any size is counted by as many tasks as its sensors are dealt to.
+    """
+    return sensors.groupBy(*by).agg(F.count_distinct("sensor_id").alias("distinct_sensors"))
+
+
 def array_to_csv(df: DataFrame, src: str = "sensor_ids", dst: str = "sensor_ids_str") -> DataFrame:
     """Replaces an array of texts by its comma-separated text."""
     text = F.when(F.col(src).isNotNull(), F.concat_ws(",", src))

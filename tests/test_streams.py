@@ -10,6 +10,7 @@ from test_operators import same
 
 from sensorgrid.operators import latest as L, registry as R, zones as Z
 from sensorgrid.plans import bindings as B, serving as S
+from sensorgrid.plans.registered import QUERIES
 from sensorgrid.plans.views import current_zone_windows, register_views
 from sensorgrid.schemas import MESSAGE, READING
 from sensorgrid.sinks.payload import to_payload
@@ -443,3 +444,16 @@ def test_a_batch_is_judged_once(spark, sf_dir, tmp_path, split):
     ids = halves[0].select("sensor_id", "datetime").unionByName(halves[1].select("sensor_id", "datetime"))
     assert same(ids, rows.select("sensor_id", "datetime"))
     assert halves[0].where("zone_name IS NULL").isEmpty() and halves[1].where("zone_name IS NOT NULL").isEmpty()
+
+
+def test_sensors_of_a_day_are_counted_exactly(spark, tmp_path):
+    """More sensors of a zone and day than a sketch counts without error."""
+    rows = spark.range(9000).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, CAST(id % 24 AS INT)) AS ts",
+        "id * 7919 % 6007 AS user_id", "'view' AS event_type", "1.5D AS value", "'{\"k\": 1}' AS props",
+    )
+    rows.coalesce(1).write.parquet(str(tmp_path / "rows"))
+    os.makedirs(tmp_path / "in")
+    shutil.copy(glob.glob(f"{tmp_path}/rows/*.parquet")[0], tmp_path / "in" / "events.parquet")
+    found = QUERIES["stream_distinct_sensors"](spark, str(tmp_path / "in")).collect()
+    assert [tuple(r) for r in found] == [("view", "2024-01-01", 6007)]
