@@ -18,7 +18,7 @@ from sensorgrid.sinks.writers import (
     BatchId, compact, jdbc_sink, multi_sink, read_routed, routed_sink, split_sink, table_sink, topic_sink,
 )
 from sensorgrid.sources import messages as M
-from sensorgrid.streaming import jobs as J
+from sensorgrid.streaming import history, jobs as J
 from sensorgrid.streaming.app import database_sinks, start_feed, start_service
 from sensorgrid.streaming.changelog import keep_last
 from sensorgrid.streaming.history import keyed_history, read_history
@@ -457,3 +457,18 @@ def test_sensors_of_a_day_are_counted_exactly(spark, tmp_path):
     shutil.copy(glob.glob(f"{tmp_path}/rows/*.parquet")[0], tmp_path / "in" / "events.parquet")
     found = QUERIES["stream_distinct_sensors"](spark, str(tmp_path / "in")).collect()
     assert [tuple(r) for r in found] == [("view", "2024-01-01", 6007)]
+
+
+def test_history_state_gets_few_rows_of_a_zone(spark, sf_dir):
+    """Before the shuffle every task leaves the rows of a zone that may be among its last n, in one batch or many."""
+    rows = B.readings(B.events(spark, sf_dir)).repartition(3)
+    nowhere = rows.limit(40).withColumn("zone_id", F.lit(None).cast("string"))
+    timeless = rows.where("zone_id = 'view'").limit(40).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    entries = history.entries(rows.unionByName(nowhere).unionByName(timeless).coalesce(2), L.ARRIVAL)
+    order = [F.desc_nulls_last(c) for c in ("arrived", "part", "place", "payload")]
+    last = Window.partitionBy("zone_id").orderBy(*order)
+    for n in (7, 100_000):
+        cut = history.last_entries(entries, n, held_rows=500)
+        assert cut.groupBy(F.spark_partition_id(), "zone_id").count().where(f"count > {n}").isEmpty()
+        want = entries.withColumn("rank", F.row_number().over(last)).where(f"rank <= {n}")
+        assert same(cut.withColumn("rank", F.row_number().over(last)).where(f"rank <= {n}"), want)
