@@ -3,7 +3,9 @@
 A document's set is a point: its tokens are hashed into ``GROUPS`` groups, and the
 coordinates are the groups' counts. Two sets overlap by no more than the sum of the
 smaller coordinates, so a pair, or two pages of a tree by their largest coordinates,
-can be ruled out without the sets. What survives is verified on the sets.
+can be ruled out without the sets. They also differ in no fewer tokens than there are
+groups, of ``PARITIES`` finer ones, whose counts are odd in one set and even in the other.
+What survives is verified on the sets.
 
 A ball of the radius that a similarity of 0.85 allows holds most documents of like
 size, so one tree over all points would compare almost all of them. The root is
@@ -11,7 +13,9 @@ therefore fanned out by token: two similar sets share one of the first
 ``n - ceil(0.85 n) + 1`` tokens of any common order, and below each such token stands a
 tree of its documents. The order is by rarity, from a sketch of a fixed number of
 counters over the shingles of all documents, so passages that many documents share
-come last; any sketch gives the same links, a good one fewer candidates.
+come last; any sketch gives the same links, a good one fewer candidates. All sets have
+that order in common: below the first token that two sets share, they can share no more
+than what follows it in either, so a token that stands late in its set meets few others.
 
 Equal sets are one class. Every tree has a leader. A class is first compared with two
 of the leaders it meets, which finds the components of near copies in linear work; what
@@ -28,14 +32,14 @@ table gives no rows; other columns are not looked at.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorgrid.llm.bitmap import bitmap, fitting, in_bitmap
-from sensorgrid.llm.common import arrow_map, discard, fresh, saved, text_digest
+from sensorgrid.llm.common import arrow_map, discard, fresh, saved, settle, text_digest
 from sensorgrid.llm.components import components
 from sensorgrid.llm.textscan import (
     LOWER, SPACE, mix, pieces, prefix_hash, rows_of, runs, segment_counts, shingle_hash, span_hash,
@@ -44,7 +48,11 @@ from sensorgrid.llm.textscan import (
 SHINGLE_WORDS = 4
 SIMILAR, OF = 85, 100
 GROUPS = 32
+#: Groups of which only it is kept whether their counts are odd.
+PARITIES = 512
 PAGE_ROWS = 256
+#: Up to so many classes below a token are compared by size and place before their counts are fetched.
+FEW_ROWS = 16
 SKETCH_BITS = 22
 SLICE_BITS = 14
 MERGE_FAN_IN = 64
@@ -138,13 +146,13 @@ def set_name(members: np.ndarray) -> int:
 
 
 def points(docs: DataFrame, level: np.ndarray, size: int, similar: int, of: int) -> DataFrame:
-    """Every row's class, size, group counts and the tokens it is filed under."""
+    """Every row's class, size, group counts, parities and the tokens it is filed under, in order."""
     held = docs.sparkSession.sparkContext.broadcast(level.tobytes())
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = np.frombuffer(held.value, np.uint8)
         for batch in batches:
-            kind, number, vector, prefix = [], [], [], []
+            kind, number, vector, odd, prefix = [], [], [], [], []
             for _, _, data, at in pieces(batch.column("text")):
                 row, token = shingle_sets(data, at, size)
                 n = len(at) - 1
@@ -154,22 +162,26 @@ def points(docs: DataFrame, level: np.ndarray, size: int, similar: int, of: int)
                     own = token[(ends[r - 1] if r else 0) : ends[r]]
                     number.append(len(own))
                     if not len(own):
-                        kind.append(0), vector.append(None), prefix.append(None)
+                        kind.append(0), vector.append(None), odd.append(None), prefix.append(None)
                         continue
                     order = np.lexsort((own, rank[(ends[r - 1] if r else 0) : ends[r]]))[: prefix_size(len(own), similar, of)]
                     kind.append(set_name(own))
                     vector.append(np.bincount((own & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS))
+                    fine = np.bincount((own & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES)
+                    odd.append(np.packbits(fine & 1).view(np.int64))
                     prefix.append(own[order].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("digest"), pa.array(kind, pa.int64()),
-                    pa.array(number, pa.int64()), pa.array(vector, pa.list_(pa.int32())), pa.array(prefix, pa.list_(pa.int64())),
+                    pa.array(number, pa.int64()), pa.array(vector, pa.list_(pa.int32())), pa.array(odd, pa.list_(pa.int64())),
+                    pa.array(prefix, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "digest", "class", "n", "groups", "prefix"],
+                ["doc_id", "digest", "class", "n", "groups", "odd", "prefix"],
             )
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"), "text")
-    return arrow_map(narrow, task, "doc_id long, digest string, class long, n long, groups array<int>, prefix array<long>")
+    kind = "doc_id long, digest string, class long, n long, groups array<int>, odd array<long>, prefix array<long>"
+    return arrow_map(narrow, task, kind)
 
 
 def set_arrays(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
@@ -217,17 +229,29 @@ class Join:
         filled = self.rows.where("n > 0")
         self.point = saved(
             filled.groupBy("class").agg(
-                F.first("n").alias("n"), F.first("groups").alias("groups"), F.min(F.xxhash64("doc_id", "digest")).alias("one")
+                F.first("n").alias("n"), F.first("groups").alias("groups"), F.first("odd").alias("odd"),
+                F.min(F.xxhash64("doc_id", "digest")).alias("one"),
             ),
             "jaccard-points",
         )
-        self.tokens = filled.select("class", F.explode("prefix").alias("token"))
+        self.tokens = filled.select("class", "n", F.posexplode("prefix").alias("place", "token"))
         self.temporary: list[DataFrame] = []
 
     def may_link(self, n1: Column, n2: Column, overlap: Column) -> Column:
         """Whether sets of these sizes that share ``overlap`` tokens are similar."""
         return (self.similar + self.of) * overlap >= self.similar * (n1 + n2)
 
+    def near_counts(self, n1: Column, n2: Column, one: tuple[Column, Column], two: tuple[Column, Column]) -> Column:
+        """Whether sets of these sizes, group counts and parities may be similar."""
+        (groups1, odd1), (groups2, odd2) = one, two
+        apart = F.lit(0)
+        for k in range(PARITIES // 64):
+            apart = apart + F.bit_count(odd1[k].bitwiseXOR(odd2[k]))
+        # What the sets share is at most half of n1 + n2 - apart.
+        near = self.may_link(2 * n1, 2 * n2, n1 + n2 - apart)
+        # The sum over the groups is only made for pairs whose parities are near.
+        return F.when(near, self.may_link(n1, n2, minima(groups1, groups2))).otherwise(False)
+
     def links(self) -> DataFrame:
         """Links that connect whatever is connected; not all links inside a component."""
         leaders = saved(
@@ -235,6 +259,7 @@ class Join:
             .where("leader != last").select("token", "leader"),
             "jaccard-leaders",
         )
+        settle(self.docs.sparkSession)
         shared = saved(self.tokens.join(leaders, "token"), "jaccard-shared")
         # Of the leaders that a class meets, the one it shares most tokens with, and the smallest.
         met = shared.where("class != leader").groupBy("class", "leader").agg(F.count("*").alias("n"))
@@ -246,72 +271,98 @@ class Join:
         group = saved(components(first), "jaccard-groups")
         rest = saved(self.across(shared, group), "jaccard-pairs")
         discard(shared, group, *self.temporary)
-        found = first.unionByName(self.verified(rest))
+        found = first.unionByName(self.verified(rest, counted=True))
         discard(rest)
         return found
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are similar: by size, by group counts, then by the sets."""
-        p = self.point.select("class", "n", "groups")
-        near = (
-            pairs.join(p.withColumnsRenamed({"class": "a", "n": "na", "groups": "ga"}), "a")
-            .join(p.withColumnsRenamed({"class": "b", "n": "nb", "groups": "gb"}), "b")
-            .where(self.may_link(F.col("na"), F.col("nb"), F.least("na", "nb")))
-            .where(self.may_link(F.col("na"), F.col("nb"), minima(F.col("ga"), F.col("gb"))))
-            .select("a", "b", "na", "nb")
-        )
-        near = saved(near, "jaccard-near")
+    def verified(self, pairs: DataFrame, counted: bool = False) -> DataFrame:
+        """The pairs (a, b) that are similar: by size and counts, unless they are ``counted``, then by the sets."""
+        near = pairs if counted else self._near(pairs)
+        near = near if counted else saved(near, "jaccard-near")
         # The sets of either side are read where they are joined, and not kept.
         sets = {}
         for side in ("a", "b"):
             nodes = near.select(F.col(side).alias("class")).distinct()
             wanted = self.point.join(nodes, "class").select("one")
             sets[side] = set_arrays(self.docs, wanted, self.size).withColumnsRenamed({"class": side, "members": f"s{side}"})
-        overlap = F.size(F.array_intersect("sa", "sb"))
-        linked = near.join(sets["b"], "b").join(sets["a"], "a").where(self.may_link(F.col("na"), F.col("nb"), overlap))
+        similar = self.may_link(F.size("sa"), F.size("sb"), F.size(F.array_intersect("sa", "sb")))
+        linked = near.join(sets["b"], "b").join(sets["a"], "a").where(similar)
         linked = saved(linked.select("a", "b").distinct(), "jaccard-links")
-        discard(near)
+        if not counted:
+            discard(near)
         return linked
 
+    def _near(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that may be similar by size and counts."""
+        p = self.point.select("class", "n", "groups", "odd")
+        return (
+            pairs.join(p.withColumnsRenamed({"class": "a", "n": "na", "groups": "ga", "odd": "oa"}), "a")
+            .join(p.withColumnsRenamed({"class": "b", "n": "nb", "groups": "gb", "odd": "ob"}), "b")
+            .where(self.may_link(F.col("na"), F.col("nb"), F.least("na", "nb")))
+            .where(self.near_counts(F.col("na"), F.col("nb"), (F.col("ga"), F.col("oa")), (F.col("gb"), F.col("ob"))))
+            .select("a", "b")
+        )
+
     def across(self, shared: DataFrame, group: DataFrame) -> DataFrame:
         """Pairs of classes that share a token, are of different components and may be similar.
 
         Trees with one component only are done. A tree of few classes is a single page.
         """
         named = shared.join(group, shared["class"] == group["node"], "left").select(
-            "token", "class", F.coalesce("component", "class").alias("component")
+            "token", "class", "n", "place", F.coalesce("component", "class").alias("component")
         )
         mixed = saved(
             named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
             .where("lo != hi").select("token"),
             "jaccard-mixed",
         )
-        entry = saved(
-            named.join(mixed, "token").distinct().join(self.point.select("class", "n", "groups"), "class"), "jaccard-entries"
-        )
+        settle(self.docs.sparkSession)
+        entry = saved(named.join(mixed, "token").distinct(), "jaccard-entries")
+        settle(self.docs.sparkSession)
         sizes = saved(entry.groupBy("token").agg(F.count("*").alias("rows")), "jaccard-sizes")
         self.temporary += [mixed, entry, sizes]
-        small, large = sizes.where(F.col("rows") <= PAGE_ROWS), sizes.where(F.col("rows") > PAGE_ROWS)
-        one = entry.join(small.select("token"), "token").groupBy("token").agg(self._rows().alias("rows1"))
+        rows = F.col("rows")
+        few, some, many = (
+            entry.join(sizes.where(on).select("token"), "token")
+            for on in (rows <= FEW_ROWS, (rows > FEW_ROWS) & (rows <= PAGE_ROWS), rows > PAGE_ROWS)
+        )
+        met = few.groupBy("token").agg(self._rows("place").alias("rows1"))
+        met = saved(self._pairs(met.withColumn("rows2", F.col("rows1")), self._may_meet), "jaccard-met")
+        self.temporary.append(met)
+        settle(self.docs.sparkSession)
+        p = self.point.select("class", "groups", "odd")
+        one = some.join(p, "class").groupBy("token").agg(self._rows("place", "groups", "odd").alias("rows1"))
         one = one.withColumn("rows2", F.col("rows1"))
-        pairs = one.select("rows1", "rows2").unionByName(self._opened(entry.join(large.select("token"), "token")))
-        # Pairs are looked at inside their pages; only those that may be similar become rows.
+        pages = one.select("rows1", "rows2").unionByName(self._opened(many.join(p, "class")))
+        return self._near(met).unionByName(self._pairs(pages, self._may_be_similar)).distinct()
+
+    @staticmethod
+    def _rows(*more: str) -> Column:
+        return F.collect_list(F.struct("class", "n", "component", *more))
+
+    @staticmethod
+    def _pairs(pages: DataFrame, wanted: Callable[[Column, Column], Column]) -> DataFrame:
+        """The different pairs (a, b) of rows1 and rows2 that are wanted; the others never become rows."""
         found = F.flatten(F.transform("rows1", lambda x: F.transform(
-            F.filter("rows2", lambda y: self._may_be_similar(x, y)),
+            F.filter("rows2", lambda y: wanted(x, y)),
             lambda y: F.struct(F.least(x["class"], y["class"]).alias("a"), F.greatest(x["class"], y["class"]).alias("b")),
         )))
-        return pairs.select(F.explode(found).alias("pair")).select("pair.*").distinct()
+        return pages.select(F.explode(found).alias("pair")).select("pair.*").distinct()
 
-    @staticmethod
-    def _rows() -> Column:
-        return F.collect_list(F.struct("class", "n", "component", "groups"))
+    def _may_meet(self, x: Column, y: Column) -> Column:
+        """Whether two entries of different components can be similar by size and place, each pair once in a page.
 
-    def _may_be_similar(self, x: Column, y: Column) -> Column:
-        """Whether two entries of different components can be, each pair once in a page."""
+        If the token is not the first that the two sets share, the place may rule them out
+        here; below the first it does not rule out similar sets.
+        """
         other = (x["component"] != y["component"]) & (x["class"] < y["class"])
-        near = self.may_link(x["n"], y["n"], F.least(x["n"], y["n"]))
-        # The sum over the groups is only made for pairs of near sizes.
-        return F.when(other & near, self.may_link(x["n"], y["n"], minima(x["groups"], y["groups"]))).otherwise(False)
+        left = F.least(x["n"] - x["place"], y["n"] - y["place"])
+        return F.when(other, self.may_link(x["n"], y["n"], left)).otherwise(False)
+
+    def _may_be_similar(self, x: Column, y: Column) -> Column:
+        """The same by the counts as well."""
+        near = self.near_counts(x["n"], y["n"], (x["groups"], x["odd"]), (y["groups"], y["odd"]))
+        return F.when(self._may_meet(x, y), near).otherwise(False)
 
     def _opened(self, entry: DataFrame) -> DataFrame:
         """Pairs of pages (rows1, rows2) below the tokens with many classes.
@@ -335,7 +386,7 @@ class Join:
             entry.join(fill, ["token", "band", "side"]).withColumn("page", place)
             .groupBy("token", "page")
             .agg(
-                self._rows().alias("rows"), F.min("n").alias("least"), F.max("n").alias("most"),
+                self._rows("place", "groups", "odd").alias("rows"), F.min("n").alias("least"), F.max("n").alias("most"),
                 F.min("component").alias("lo"), F.max("component").alias("hi"), *largest,
             )
             .withColumn("top", F.array(*[f"g{g}" for g in range(GROUPS)])).drop(*[f"g{g}" for g in range(GROUPS)]),

@@ -459,6 +459,24 @@ def test_chains_and_groups_without_a_common_leader(spark, monkeypatch):
     assert len(set(groups[:18])) == 1 and len(set(groups)) == 9
 
 
+def test_copies_that_differ_too_much_are_ruled_out_by_counts(spark, monkeypatch):
+    """Texts of one origin that share most tokens and link with none: their sets are not read pair by pair."""
+    rng = random.Random(11)
+    words = _sentence(rng, 400).split(" ")
+    table = []
+    for k in range(40):
+        own = list(words)
+        for at in rng.sample(range(400), 14):
+            own[at] = f"{own[at]}{k}"
+        table.append((k, " ".join(own), None, None, 0))
+    compared, verified = [], jaccard_join.Join.verified
+    monkeypatch.setattr(jaccard_join.Join, "verified", lambda self, pairs, *more, **named: (
+        compared.append(pairs.count()), verified(self, pairs, *more, **named))[1])
+    frame = spark.createDataFrame(table, COLUMNS).repartition(3)
+    _check_groups(jaccard_join.jaccard_components(frame), [r[:2] for r in table])
+    assert compared[1] < 20
+
+
 def test_components(spark):
     rng = random.Random(10)
     links = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(k, k + 1) for k in range(100, 140)] + [(7, 7)]
