@@ -216,6 +216,27 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return rows.withColumn("number", F.xxhash64("doc_id", "digest"))
 
 
+def tokens_among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(class, n, place, token) of the tokens that are in the one column of ``wanted``, and of few others."""
+    held = rows.sparkSession.sparkContext.broadcast(bitmap(wanted, fitting(wanted.count())))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = batch.column("prefix")
+            token = prefix.flatten().to_numpy()
+            length = prefix.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(length)), length)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+            on = np.flatnonzero(in_bitmap(held.value, token.view(np.uint64)))
+            at = pa.array(row[on])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("class").take(at), batch.column("n").take(at), pa.array(place[on].astype(np.int32)), pa.array(token[on])],
+                ["class", "n", "place", "token"],
+            )
+
+    return arrow_map(rows.select("class", "n", "prefix"), task, "class long, n long, place int, token long")
+
+
 def minima(left: Column, right: Column) -> Column:
     return F.aggregate(F.zip_with(left, right, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
 
@@ -260,7 +281,9 @@ class Join:
             "jaccard-leaders",
         )
         settle(self.docs.sparkSession)
-        shared = saved(self.tokens.join(leaders, "token"), "jaccard-shared")
+        # Most tokens are in one class; only the others are sent on with their classes.
+        met = tokens_among(self.rows.where("n > 0"), leaders.select("token"))
+        shared = saved(met.join(leaders, "token"), "jaccard-shared")
         # Of the leaders that a class meets, the one it shares most tokens with, and the smallest.
         met = shared.where("class != leader").groupBy("class", "leader").agg(F.count("*").alias("n"))
         star = met.groupBy("class").agg(

@@ -477,6 +477,18 @@ def test_copies_that_differ_too_much_are_ruled_out_by_counts(spark, monkeypatch)
     assert compared[1] < 20
 
 
+def test_tokens_of_one_class_are_not_sent_on(spark):
+    """Of all tokens those wanted are found with their places, and hardly any other."""
+    rng = random.Random(18)
+    common = rng.randrange(-(1 << 63), 1 << 63)
+    mixed = [(k, 3, [rng.randrange(-(1 << 63), 1 << 63) for _ in range(2)] + [common]) for k in range(600)]
+    rows = spark.createDataFrame(mixed + [(9999, 0, None), (9998, 0, [])], "class long, n long, prefix array<long>").repartition(3)
+    wanted = spark.createDataFrame([(common,)], "token long")
+    got = {tuple(r) for r in jaccard_join.tokens_among(rows, wanted).collect()}
+    want = {(c, n, 2, common) for c, n, _ in mixed}
+    assert want <= got and len(got) <= 1.2 * len(want)
+
+
 def test_components(spark):
     rng = random.Random(10)
     links = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(k, k + 1) for k in range(100, 140)] + [(7, 7)]
