@@ -3,6 +3,7 @@ from __future__ import annotations
 import glob
 import os
 import shutil
+from collections import Counter
 
 import pytest
 from pyspark.sql import DataFrameReader, DataFrameWriter, Window, functions as F
@@ -472,3 +473,30 @@ def test_history_state_gets_few_rows_of_a_zone(spark, sf_dir):
         assert cut.groupBy(F.spark_partition_id(), "zone_id").count().where(f"count > {n}").isEmpty()
         want = entries.withColumn("rank", F.row_number().over(last)).where(f"rank <= {n}")
         assert same(cut.withColumn("rank", F.row_number().over(last)).where(f"rank <= {n}"), want)
+
+
+def test_a_large_batch_is_dealt_out_in_parts(spark, tmp_path, monkeypatch):
+    """Rows go to their days a part at a time: all of them, each file in order, a retry leaves none twice."""
+    from sensorgrid.sinks import writers
+
+    monkeypatch.setattr(writers, "DEAL_ROWS", 150, raising=False)
+    monkeypatch.setattr(writers, "FILE_ROWS", 40, raising=False)
+    parts, settle = [], writers.settle
+    monkeypatch.setattr(writers, "settle", lambda spark: (parts.append(1), settle(spark)))
+    rows = spark.range(1000).repartition(4).selectExpr(
+        "id", "cast(id % 7 as string) zone_id",
+        "if(id % 50 = 0, null, timestamp_ntz'2024-01-01 12:00:00' + make_dt_interval(id % 3, 0, id % 11)) datetime",
+    )
+    sink = table_sink(str(tmp_path / "t"), event_date="datetime", sort_by=("zone_id", "datetime"))
+    for _ in range(2):
+        stored = sink(rows, 3)
+        assert Counter(map(tuple, stored.drop("event_date").collect())) == Counter(map(tuple, rows.collect()))
+    assert 2 * 7 <= len(parts) <= 2 * 16, len(parts)
+    for file in glob.glob(f"{tmp_path}/t/*/*/event_date=*/*.parquet"):
+        held = [(r["zone_id"], r["datetime"]) for r in spark.read.parquet(file).collect()]
+        key = lambda x: (x[0], x[1] is not None, x[1] and x[1].isoformat())
+        assert held == sorted(held, key=key)
+    # A batch without rows gives a table without rows, and one part needs no clearing.
+    parts.clear()
+    assert sink(rows.where("id < 0"), 4).count() == 0 and sink(rows.where("id < 20"), 5).count() == 20 and not parts
+    assert not glob.glob(f"{writers.new_path(spark, 'undealt').rpartition('undealt')[0]}undealt*")
